@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from storyloom.llm import quality_rules
+from storyloom.llm import ngram_join, quality_rules
 from storyloom.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +18,12 @@ def query(f: Callable[[SparkSession, str], DataFrame]):
     return f
 
 
+@query
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose 3-word shingle sets have a Jaccard similarity of 0.9 or more."""
+    return ngram_join.link_groups(spark, table(spark, sf_dir, "documents"), size=3, percent=90)
+
+
 @query
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules' votes weighed by EM, for every document."""
