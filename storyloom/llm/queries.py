@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from storyloom.llm import ngram_join, quality_rules
+from storyloom.llm import ngram_join, quality_rules, token_records
 from storyloom.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +25,12 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link_groups(spark, table(spark, sf_dir, "documents"), size=3, percent=90)
 
 
+@query
+def op7_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document in binary record files, read back."""
+    return token_records.write_and_read(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+
+
 @query
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules' votes weighed by EM, for every document."""
