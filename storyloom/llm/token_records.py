@@ -21,9 +21,11 @@ records. Only doc_id and text are read, whatever else there is."""
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +36,8 @@ from storyloom.llm import scratch
 
 NULL_ID = -(2**63)
 MASK_ADD = 0xA282EAD8
-#: Distinct words whose ids a task remembers.
-WORDS_KEPT = 400_000
+#: Distinct words whose ids a worker remembers; beyond that it starts anew. About 250 bytes each.
+WORDS_KEPT = 600_000
 
 
 def masked(data: bytes) -> int:
@@ -73,48 +75,109 @@ def _tokenizer(path: str):
 class WordEncoder:
     """Ids by a tokenizer whose tokens never span white space and don't depend on what stands beside it: each distinct
     word is encoded once, and a text's ids are its words' ids in a row. Such are tokenizers that drop white space; for
-    others, per_word=False encodes whole texts."""
+    others, per_word=False encodes whole texts.
+
+    A word of Latin letters and, after them, ASCII punctuation other than an apostrophe falls into the two where the
+    tokenizer would cut it, if it lower-cases and keeps letters and punctuation apart; that is tried out on words of
+    this kind at the start, and else not done. Letters are then lower-cased here and go to the same BPE model in long
+    rows without the normaliser, which is most of the cost; the model's end-of-word tokens show where each ends."""
+
+    ROW = 400
+    LETTERS = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\\[-`{-~]*)")
+    TRIED = ("The", "THATSTOR!!", "\u00c9tre,", "sch\u00f6n.", "x", "\u00d1andu\u00fa***", "tion$$$", "a_b", "\u00dfig)", "rewh\\", "[", "\u00ff|")
 
     def __init__(self, path: str, per_word: bool):
         self.tokenizer, self.per_word = _tokenizer(path), per_word
         self.forget()
+        self.bare = self._bare() if per_word else None
+        if self.bare and any(not np.array_equal(x, y) for x, y in zip(self.encode(list(self.TRIED)), self._whole(self.TRIED), strict=True)):
+            self.bare = None
+            self.forget()
+
+    def _bare(self):
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        if not suffix:
+            return None
+        t = Tokenizer(self.tokenizer.model)
+        t.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocab = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for w, i in vocab.items() if w.endswith(suffix)]] = True
+        return t
 
     def forget(self) -> None:
-        self.number: dict[bytes, int] = {}
-        self.ids: list[np.ndarray] = []
-        self.table = None
+        self.number: dict[bytes, int] = {}  # of words
+        self.parts = np.zeros((1 << 14, 2), np.int64)  # two units each
+        self.unit: dict[str, int] = {"": 0}
+        self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.begin, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+
+    def _whole(self, texts) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)]
+
+    def _units(self, new: list[str], ids: np.ndarray, size: np.ndarray) -> None:
+        n = len(self.unit)
+        self.unit.update(zip(new, range(n, n + len(new)), strict=True))
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.append(self.flat, np.zeros_like(self.flat))
+        while len(self.unit) > len(self.size):
+            self.begin, self.size = np.append(self.begin, np.zeros_like(self.begin)), np.append(self.size, np.zeros_like(self.size))
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.size[n : n + len(new)] = size
+        self.begin[n : n + len(new)] = self.used + np.cumsum(size) - size
+        self.used += len(ids)
+
+    def _learn(self, new: list[bytes]) -> None:
+        texts = [w.decode() for w in new]
+        met = [self.LETTERS.fullmatch(t) for t in texts] if self.bare else [None] * len(texts)
+        cut = [(m[1].lower() + " ", m[2]) if m else (t, "") for m, t in zip(met, texts, strict=True)]
+        unit = self.unit
+        letters = list({x for (x, _), m in zip(cut, met, strict=True) if m and x not in unit})
+        for i in range(0, len(letters), 50 * self.ROW):
+            some = letters[i : i + 50 * self.ROW]
+            ids = np.concatenate([np.array(e.ids, np.uint32) for e in self.bare.encode_batch_fast(["".join(some[k : k + self.ROW]) for k in range(0, len(some), self.ROW)])])
+            self._units(some, ids, np.diff(np.flatnonzero(self.ends[ids]), prepend=-1))
+        other = list({x for (a, b), m in zip(cut, met, strict=True) for x in ((b,) if m else (a,)) if x not in unit})
+        if other:
+            each = self._whole(other)
+            self._units(other, np.concatenate(each), np.array([len(x) for x in each]))
+        n = len(self.number)
+        self.number.update(zip(new, range(n, n + len(new)), strict=True))
+        while len(self.number) > len(self.parts):
+            self.parts = np.append(self.parts, np.zeros_like(self.parts), axis=0)
+        self.parts[n : n + len(new)] = [(unit[a], unit[b]) for a, b in cut]
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         if not self.per_word:
-            return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)]
+            return self._whole(t or "" for t in texts)
         if len(self.number) > WORDS_KEPT:
             self.forget()
         split = [(t or "").encode().split() for t in texts]
         number = self.number
-        new = list({w for ws in split for w in ws if w not in number})
+        new = [w for w in set().union(*split) if w not in number]
         if new:
-            for w, e in zip(new, self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False), strict=True):
-                number[w] = len(self.ids)
-                self.ids.append(np.array(e.ids, np.uint32))
-            size = np.array([len(x) for x in self.ids], np.int64)
-            self.table = np.concatenate([*self.ids, np.zeros(0, np.uint32)]), np.cumsum(size) - size, size
-        if self.table is None:
-            return [np.zeros(0, np.uint32) for _ in texts]
-        flat, begin, size = self.table
-        out = []
-        for ws in split:
-            k = np.fromiter(map(number.__getitem__, ws), np.int64, len(ws))
-            n = size[k]
-            ends = np.cumsum(n)
-            out.append(flat[np.repeat(begin[k] - (ends - n), n) + np.arange(ends[-1] if len(n) else 0)])
-        return out
+            self._learn(new)
+        count = np.array([len(ws) for ws in split], np.int64)
+        k = self.parts[np.fromiter(map(number.__getitem__, chain.from_iterable(split)), np.int64, int(count.sum()))].ravel()
+        n = self.size[k]
+        ends = np.cumsum(n)
+        ids = self.flat[np.repeat(self.begin[k] - (ends - n), n) + np.arange(int(n.sum()))]
+        return np.split(ids, np.concatenate([[0], ends])[2 * np.cumsum(count)][:-1])
+
+
+@lru_cache(1)
+def _encoder(path: str, per_word: bool) -> WordEncoder:
+    """One a worker, which keeps its words from task to task."""
+    return WordEncoder(path, per_word)
 
 
 def _encode(path: str, end_id: int, per_word: bool, wide: bool, chunk: int = 500):
     """doc_id, text -> doc_id, n, crc, framed record; rows keep their order."""
 
     def run(batches):
-        encoder = WordEncoder(path, per_word)
+        encoder = _encoder(path, per_word)
         for batch in batches:
             for i in range(0, len(batch), chunk):
                 part = batch.slice(i, chunk)
