@@ -307,6 +307,7 @@ def _rest(rule: Rule, hot: DataFrame, groups: DataFrame) -> DataFrame:
 
 def link_groups(spark: SparkSession, documents: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
     """doc_id, n_shingles and component_id of each row of documents."""
+    scratch.bound_batches(spark)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     for seed in range(8):
         rule = Rule(size, percent, seed * 0x9E3779B9)

@@ -23,6 +23,14 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def bound_batches(spark: SparkSession, size: str = "8m") -> None:
+    """Lets Arrow batches hold a few MB rather than 64, unless the session says otherwise: a batch is in memory a few times
+    over, in the JVM and in each Python worker beside it. Holds for the session."""
+    key, usual = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+    if spark.conf.get(key) == usual:
+        spark.conf.set(key, size)
+
+
 def drop(spark: SparkSession, *paths: str) -> None:
     for path in paths:
         p, fs = _hadoop(spark, path)

@@ -196,6 +196,7 @@ def _encode(path: str, end_id: int, per_word: bool, wide: bool, chunk: int = 500
 def write(spark: SparkSession, documents: DataFrame, tokenizer: str, end_id: int, path: str, per_word: bool = True, shard_mb: float = 32) -> None:
     """Writes the shards of documents (doc_id, text) under path. Texts are encoded where they lie; the records, which are
     smaller, go to ranges of doc_id, one shard each."""
+    scratch.bound_batches(spark)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     wide = _tokenizer(tokenizer).get_vocab_size(with_added_tokens=True) > 65_536
     seen = docs.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("b")).first()
