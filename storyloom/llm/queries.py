@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from storyloom.llm import ngram_join, packing, quality_rules, token_records
+from storyloom.llm import chat_format, ngram_join, packing, quality_rules, scratch, token_records
 from storyloom.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +37,16 @@ def op7_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_records.write_and_read(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
+@query
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one of control strings, formatted in windows and read back from them."""
+    said = r"\### Assistant: </turn> ok"
+    more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
+    windows = scratch.save(spark, chat_format.format_windows(spark, turns), "windows")
+    return chat_format.read_back(spark, windows)
+
+
 @query
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules' votes weighed by EM, for every document."""
