@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from storyloom.llm import chat_format, ngram_join, packing, quality_rules, scratch, token_records
+from storyloom.llm import chat_format, ngram_join, packing, quality_rules, scratch, secret_scan, token_records
 from storyloom.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,12 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link_groups(spark, table(spark, sf_dir, "documents"), size=3, percent=90)
 
 
+@query
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document, by patterns and by randomness."""
+    return secret_scan.scan(spark, table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in full sequences of 1024 tokens and of shorter powers of two."""
