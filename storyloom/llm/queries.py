@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from storyloom.llm import chat_format, ngram_join, packing, quality_rules, scratch, secret_scan, token_records
+from storyloom.llm import chat_format, ngram_join, packing, quality_classifier, quality_rules, scratch, secret_scan, token_records
 from storyloom.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +57,9 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules' votes weighed by EM, for every document."""
     return quality_rules.assess(spark, table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents by trees trained on labels that aren't held out."""
+    return quality_classifier.classify(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -21,14 +21,13 @@ records. Only doc_id and text are read, whatever else there is."""
 
 from __future__ import annotations
 
-import re
 import struct
 import zlib
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,6 +71,11 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+LETTERS = "".join(chr(c) for c in (*range(65, 91), *range(97, 123), *range(0xC0, 0x100)) if c not in (0xD7, 0xF7))
+#: ASCII punctuation but the apostrophe, which may begin a token of its own.
+MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
+
+
 class WordEncoder:
     """Ids by a tokenizer whose tokens never span white space and don't depend on what stands beside it: each distinct
     word is encoded once, and a text's ids are its words' ids in a row. Such are tokenizers that drop white space; for
@@ -83,14 +87,13 @@ class WordEncoder:
     rows without the normaliser, which is most of the cost; the model's end-of-word tokens show where each ends."""
 
     ROW = 400
-    LETTERS = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\\[-`{-~]*)")
-    TRIED = ("The", "THATSTOR!!", "\u00c9tre,", "sch\u00f6n.", "x", "\u00d1andu\u00fa***", "tion$$$", "a_b", "\u00dfig)", "rewh\\", "[", "\u00ff|")
+    TRIED = ("The", "THATSTOR!!", "\u00c9tre,", "sch\u00f6n.", "x", "\u00d1andu\u00fa***", "tion$$$", "a_b", "\u00dfig)", "rewh\\", "[", "\u00ff|", " a  b. ")
 
     def __init__(self, path: str, per_word: bool):
         self.tokenizer, self.per_word = _tokenizer(path), per_word
         self.forget()
         self.bare = self._bare() if per_word else None
-        if self.bare and any(not np.array_equal(x, y) for x, y in zip(self.encode(list(self.TRIED)), self._whole(self.TRIED), strict=True)):
+        if self.bare and any(not np.array_equal(x, y) for x, y in zip(self.encode(self.TRIED), self._whole(self.TRIED), strict=True)):
             self.bare = None
             self.forget()
 
@@ -108,8 +111,7 @@ class WordEncoder:
         return t
 
     def forget(self) -> None:
-        self.number: dict[bytes, int] = {}  # of words
-        self.parts = np.zeros((1 << 14, 2), np.int64)  # two units each
+        """Units are words, or the letters (with a space after them) and the punctuation of a word."""
         self.unit: dict[str, int] = {"": 0}
         self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
         self.begin, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
@@ -117,7 +119,7 @@ class WordEncoder:
     def _whole(self, texts) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)]
 
-    def _units(self, new: list[str], ids: np.ndarray, size: np.ndarray) -> None:
+    def _keep(self, new: list[str], ids: np.ndarray, size: np.ndarray) -> None:
         n = len(self.unit)
         self.unit.update(zip(new, range(n, n + len(new)), strict=True))
         while self.used + len(ids) > len(self.flat):
@@ -129,42 +131,44 @@ class WordEncoder:
         self.begin[n : n + len(new)] = self.used + np.cumsum(size) - size
         self.used += len(ids)
 
-    def _learn(self, new: list[bytes]) -> None:
-        texts = [w.decode() for w in new]
-        met = [self.LETTERS.fullmatch(t) for t in texts] if self.bare else [None] * len(texts)
-        cut = [(m[1].lower() + " ", m[2]) if m else (t, "") for m, t in zip(met, texts, strict=True)]
-        unit = self.unit
-        letters = list({x for (x, _), m in zip(cut, met, strict=True) if m and x not in unit})
-        for i in range(0, len(letters), 50 * self.ROW):
-            some = letters[i : i + 50 * self.ROW]
-            ids = np.concatenate([np.array(e.ids, np.uint32) for e in self.bare.encode_batch_fast(["".join(some[k : k + self.ROW]) for k in range(0, len(some), self.ROW)])])
-            self._units(some, ids, np.diff(np.flatnonzero(self.ends[ids]), prepend=-1))
-        other = list({x for (a, b), m in zip(cut, met, strict=True) for x in ((b,) if m else (a,)) if x not in unit})
-        if other:
-            each = self._whole(other)
-            self._units(other, np.concatenate(each), np.array([len(x) for x in each]))
-        n = len(self.number)
-        self.number.update(zip(new, range(n, n + len(new)), strict=True))
-        while len(self.number) > len(self.parts):
-            self.parts = np.append(self.parts, np.zeros_like(self.parts), axis=0)
-        self.parts[n : n + len(new)] = [(unit[a], unit[b]) for a, b in cut]
-
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+    def _numbers(self, column: pa.Array, bare: bool) -> np.ndarray:
+        """Each word's unit number; new ones are encoded."""
+        coded = column.dictionary_encode()
+        words, unit = coded.dictionary.to_pylist(), self.unit
+        new = [w for w in words if w not in unit]
+        if new and bare:
+            rows = ["".join(new[k : k + self.ROW]) for k in range(0, len(new), self.ROW)]
+            ids = np.concatenate([np.array(e.ids, np.uint32) for e in self.bare.encode_batch_fast(rows)])
+            self._keep(new, ids, np.diff(np.flatnonzero(self.ends[ids]), prepend=-1))
+        elif new:
+            each = self._whole(new)
+            self._keep(new, np.concatenate(each), np.array([len(x) for x in each]))
+        return np.fromiter(map(unit.__getitem__, words), np.int64, len(words))[coded.indices.to_numpy()]
+
+    def encode(self, texts) -> list[np.ndarray]:
         if not self.per_word:
             return self._whole(t or "" for t in texts)
-        if len(self.number) > WORDS_KEPT:
+        if len(self.unit) > WORDS_KEPT:
             self.forget()
-        split = [(t or "").encode().split() for t in texts]
-        number = self.number
-        new = [w for w in set().union(*split) if w not in number]
-        if new:
-            self._learn(new)
-        count = np.array([len(ws) for ws in split], np.int64)
-        k = self.parts[np.fromiter(map(number.__getitem__, chain.from_iterable(split)), np.int64, int(count.sum()))].ravel()
+        column = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
+        split = pc.ascii_split_whitespace(column.cast(pa.large_string()))
+        coded = split.flatten().dictionary_encode()
+        words = coded.dictionary.cast(pa.large_string())
+        parts = np.zeros((len(words), 2), np.int64)
+        plain = np.zeros(len(words), bool)
+        if self.bare and len(words):
+            stem = pc.utf8_rtrim(words, characters=MARKS)
+            plain = pc.match_substring_regex(stem, f"^[{LETTERS}]+$").to_numpy(zero_copy_only=False)
+            stem, end = stem.filter(pa.array(plain)), pc.utf8_ltrim(words.filter(pa.array(plain)), characters=LETTERS)
+            parts[plain, 0] = self._numbers(pc.binary_join_element_wise(pc.utf8_lower(stem), pa.scalar(" ", pa.large_string()), pa.scalar("", pa.large_string())), True)
+            parts[plain, 1] = self._numbers(end, False)
+        parts[~plain, 0] = self._numbers(words.filter(pa.array(~plain)), False)
+        k = parts[coded.indices.to_numpy()].ravel()
         n = self.size[k]
         ends = np.cumsum(n)
         ids = self.flat[np.repeat(self.begin[k] - (ends - n), n) + np.arange(int(n.sum()))]
-        return np.split(ids, np.concatenate([[0], ends])[2 * np.cumsum(count)][:-1])
+        count = np.cumsum(pc.list_value_length(split).to_numpy())
+        return np.split(ids, np.concatenate([[0], ends])[2 * count][:-1])
 
 
 @lru_cache(1)
@@ -173,7 +177,7 @@ def _encoder(path: str, per_word: bool) -> WordEncoder:
     return WordEncoder(path, per_word)
 
 
-def _encode(path: str, end_id: int, per_word: bool, wide: bool, chunk: int = 500):
+def _encode(path: str, end_id: int, per_word: bool, wide: bool, chunk: int = 2000):
     """doc_id, text -> doc_id, n, crc, framed record; rows keep their order."""
 
     def run(batches):
@@ -183,7 +187,7 @@ def _encode(path: str, end_id: int, per_word: bool, wide: bool, chunk: int = 500
                 part = batch.slice(i, chunk)
                 ids = part.column("doc_id").to_pylist()
                 n, crc, record = [], [], []
-                for doc, found in zip(ids, encoder.encode(part.column("text").to_pylist()), strict=True):
+                for doc, found in zip(ids, encoder.encode(part.column("text")), strict=True):
                     found = np.append(found, np.uint32(end_id)).astype("<u4")
                     n.append(len(found))
                     crc.append(zlib.crc32(found.tobytes()))
