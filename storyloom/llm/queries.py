@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from storyloom.llm import chat_format, decontaminate, ngram_join, packing, quality_classifier, quality_rules, scratch, secret_scan, token_records
+from storyloom.llm import chat_format, decontaminate, line_dedup, ngram_join, packing, quality_classifier, quality_rules, scratch, secret_scan, token_records
 from storyloom.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,12 @@ def query(f: Callable[[SparkSession, str], DataFrame]):
     return f
 
 
+@query
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line of the documents that repeats another, exactly or nearly, and the one that stays."""
+    return line_dedup.find(spark, table(spark, sf_dir, "documents")).drop("h")
+
+
 @query
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that holds a benchmark item, with each item."""
