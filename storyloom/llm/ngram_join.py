@@ -283,8 +283,9 @@ def _linked(spark: SparkSession, docs: DataFrame, rule: Rule, classes: DataFrame
     wanted = spark.sparkContext.broadcast(_filter_of(ids))
     if not len(wanted.value):
         return pairs.select("a", "b").where("false")
-    sets = docs.mapInArrow(_sets_of(rule, wanted), "key long, found binary").groupBy("key").agg(F.first("found").alias("found"))
-    sets = scratch.save(spark, sets, "sets")
+    sets = scratch.save(spark, docs.mapInArrow(_sets_of(rule, wanted), "key long, found binary"), "sets")
+    if not sets.groupBy("key").count().where("count > 1").isEmpty():  # rows that repeat a doc_id, or ids that the filter let through
+        sets = sets.groupBy("key").agg(F.first("found").alias("found"))
     x, y = sets.select(F.col("key").alias("a"), F.col("found").alias("xs")), sets.select(F.col("key").alias("b"), F.col("found").alias("ys"))
     return scratch.save(spark, pairs.select("a", "b").join(x, "a").join(y, "b").mapInArrow(_verify(rule), "a long, b long"), "linked")
 
