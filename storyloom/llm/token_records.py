@@ -36,7 +36,7 @@ from storyloom.llm import scratch
 NULL_ID = -(2**63)
 MASK_ADD = 0xA282EAD8
 #: Distinct words whose ids a worker remembers; beyond that it starts anew. About 250 bytes each.
-WORDS_KEPT = 600_000
+WORDS_KEPT = 200_000
 
 
 def masked(data: bytes) -> int:
@@ -177,7 +177,7 @@ def _encoder(path: str, per_word: bool) -> WordEncoder:
     return WordEncoder(path, per_word)
 
 
-def _encode(path: str, end_id: int, per_word: bool, wide: bool, chunk: int = 2000):
+def _encode(path: str, end_id: int, per_word: bool, wide: bool, chunk: int = 1000):
     """doc_id, text -> doc_id, n, crc, framed record; rows keep their order."""
 
     def run(batches):
@@ -193,11 +193,12 @@ def _encode(path: str, end_id: int, per_word: bool, wide: bool, chunk: int = 200
                     crc.append(zlib.crc32(found.tobytes()))
                     record.append(frame(struct.pack("<q", NULL_ID if doc is None else doc) + (found if wide else found.astype("<u2")).tobytes()))
                 yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(crc, pa.int64()), pa.array(record, pa.binary())], names=["doc_id", "n", "crc", "record"])
+                pa.default_memory_pool().release_unused()
 
     return run
 
 
-def write(spark: SparkSession, documents: DataFrame, tokenizer: str, end_id: int, path: str, per_word: bool = True, shard_mb: float = 32) -> None:
+def write(spark: SparkSession, documents: DataFrame, tokenizer: str, end_id: int, path: str, per_word: bool = True, shard_mb: float = 16) -> None:
     """Writes the shards of documents (doc_id, text) under path. Texts are encoded where they lie; the records, which are
     smaller, go to ranges of doc_id, one shard each."""
     scratch.bound_batches(spark)
@@ -228,7 +229,7 @@ def _parse(wide: bool):
     def run(batches):
         for batch in batches:
             for path, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
-                data = memoryview(content.as_buffer()).tobytes()
+                data = memoryview(content.as_buffer())
                 out = [[], [], [], [], []]
                 for at, body in frames(data):
                     ids = np.frombuffer(body, "<u4" if wide else "<u2", offset=8).astype("<u4")
