@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from storyloom.llm import chat_format, decontaminate, line_dedup, ngram_join, packing, quality_classifier, quality_rules, scratch, secret_scan, token_records
+from storyloom.llm import chat_format, decontaminate, line_dedup, ngram_join, packing, pii, quality_classifier, quality_rules, scratch, secret_scan, token_records
 from storyloom.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,12 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document, by patterns and by learned contexts."""
+    return pii.extract(spark, table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose 3-word shingle sets have a Jaccard similarity of 0.9 or more."""
