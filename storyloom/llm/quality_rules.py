@@ -166,4 +166,6 @@ def keep_good(spark: SparkSession, docs: DataFrame, threshold: float = 0.5) -> D
     """The rows of docs that are kept, with all their columns. The texts are read twice rather than shuffled."""
     model = fit(spark, vote(docs.select("text")))
     whole = docs.select(F.struct("*").alias("_doc")).withColumn("_text", F.col("_doc.text"))
-    return vote(whole, "_text").where(~base_failed() & (model.posterior() >= threshold)).select("_doc.*")
+    # The row number keeps Catalyst from moving the filter below the statistics, where it would repeat them all.
+    voted = vote(whole, "_text").withColumn("_row", F.monotonically_increasing_id())
+    return voted.where((F.col("_row") >= 0) & ~base_failed() & (model.posterior() >= threshold)).select("_doc.*")
