@@ -114,7 +114,7 @@ def grow(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEPTH) -
     inner, leaves = 2**depth - 1, 2**depth
     rate = float(y.mean()) if len(y) else 0.5
     none = np.zeros((0, inner), np.int64), np.zeros((0, inner)), np.zeros((0, leaves))
-    if not 0 < rate < 1:
+    if not len(y) or not 0 < rate < 1:
         return Trees(float(np.log((rate + 1e-3) / (1 - rate + 1e-3))), *none, depth)
     cuts = [np.unique(np.quantile(c, np.linspace(0, 1, BINS + 1)[1:-1])) for c in x.T]
     binned = np.column_stack([np.searchsorted(q, c, "left") for q, c in zip(cuts, x.T, strict=True)])
