@@ -88,6 +88,19 @@ def merged(second: DataFrame, spacy: DataFrame) -> DataFrame:
     left = second.join(matched, ["segment_id", "seq"], "left_anti").join(last, "segment_id").where(F.col("end") <= F.col("_last"))
     return own.where("kind <> 'SomethingElse'").unionByName(left.select("segment_id", "start", "end", "kind", "text", F.col("text").alias("context"), F.lit(1).alias("confidence")))
 
+#: What in a context makes Washington the capital, and what the state; fixed values.
+CAPITAL_HINTS = ("d.c.", "district of columbia", "metro washington", "metro [washington")
+STATE_HINTS = (
+    "king county", "seattle", "spokane", "yakima", "tacoma", "pasco", "fort lewis", "mcchord", "fairchild air force base", "kitsap", "state of washington", "washington state",
+)
+
+
+def washington(context: Column) -> Column:
+    """DC or WA by what the context names, the state before the capital; NULL if it tells neither."""
+    low = F.lower(context)
+    names = lambda hints: reduce(Column.__or__, (F.contains(low, F.lit(h)) for h in hints))
+    return F.when(names(STATE_HINTS), "WA").when(names(CAPITAL_HINTS), "DC")
+
 
 def trimmed_name(name: Column) -> Column:
     """Without brackets and commas at the ends, a possessive, or 'the city of'."""

@@ -280,6 +280,11 @@ def test_states(spark, name, want):
     assert one(spark, E.looked_up_state(F.col("x"), STATES), x=name) == want
 
 
+@pytest.mark.parametrize(("context", "want"), [("Washington, D.C.", "DC"), ("Washington near Tacoma, not D.C.", "WA"), ("Washington", None)])
+def test_washington(spark, context, want):
+    assert one(spark, E.washington(F.col("x")), x=context) == want
+
+
 def test_places(spark):
     e = spark.createDataFrame([
         (1, 0, 7, "Loc", "Chicago", 2), (1, 9, 17, "Loc", "Illinois", 2), (1, 40, 60, "Loc", "the city of Akron", 1), (1, 70, 80, "Loc", "Lake Michigan", 1), (1, 100, 110, "Loc", "Annapolis [ Academy , Maryland ]", 1), (1, 120, 130, "Loc", "Paris, France", 1), (1, 140, 145, "Loc", "France", 1), (1, 150, 155, "Loc", "Wyoming Avenue", 1),
