@@ -65,9 +65,9 @@ def aspect_ratio(spark, d):
     return t.select("l_orderkey", "l_partkey", X.aspect_ratio(F.col("w"), F.col("h"), {(20, 10): "2:1"}).alias("ratio"))
 
 
-@query("strip_brackets", "SELECT doc_id, regexp_replace(replace(substr(text, 1, 300), ' ', ' ['), '\\[[^\\]]*\\]?|\\([^)]*\\)?', '', 'g') AS plain FROM documents")
+@query("strip_brackets", "SELECT doc_id, regexp_replace(replace(text, ' ', ' ['), '\\[[^\\]]*\\]?|\\([^)]*\\)?', '', 'g') AS plain FROM documents")
 def strip_brackets(spark, d):
-    t = F.replace(F.substring("text", 1, 300), F.lit(" "), F.lit(" ["))
+    t = F.replace("text", F.lit(" "), F.lit(" ["))
     return table(spark, d, "documents").select("doc_id", X.without_brackets(t).alias("plain"))
 
 

@@ -115,9 +115,9 @@ def expand_to_next(spark, d):
     return S.expanded_to_next(c, "conv_id", "turn", "b", "e").select("conv_id", "turn", "e")
 
 
-@query("multi_key_sort", "SELECT o_orderkey, l_partkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey ORDER BY o_custkey, o_orderdate, o_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 500")
+@query("multi_key_sort", "SELECT o_orderkey, l_partkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey ORDER BY o_custkey, o_orderdate, o_orderkey, l_linenumber, l_partkey, l_suppkey")
 def multi_key_sort(spark, d):
-    t = _stories(spark, d).orderBy("o_custkey", "o_orderdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").limit(500)
+    t = _stories(spark, d).orderBy("o_custkey", "o_orderdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     return t.select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey")
 
 
