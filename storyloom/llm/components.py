@@ -15,6 +15,11 @@ from storyloom.llm import scratch
 def connected_components(spark: SparkSession, links: DataFrame, name: str = "cc") -> DataFrame:
     """links (a, b) of any ordered type -> (id, root): root is the least id that links reach. Ids without links (and
     links with a null end or with both ends equal) give no row; an empty frame gives an empty one."""
+    with scratch.scope(spark) as kept:
+        return kept(_contract(spark, links, name))
+
+
+def _contract(spark: SparkSession, links: DataFrame, name: str) -> DataFrame:
     keep = lambda df, what: scratch.save(spark, df, f"{name}-{what}")
     edges = keep(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
     found = None
@@ -30,7 +35,7 @@ def connected_components(spark: SparkSession, links: DataFrame, name: str = "cc"
             if jumped.where("moved").isEmpty():
                 break
         if found is None:
-            found = parent.select(F.col("v").alias("id"), F.col("p").alias("root"))
+            found = keep(parent.select(F.col("v").alias("id"), F.col("p").alias("root")), "found")
         else:
             to = parent.select(F.col("v").alias("root"), "p")
             found = keep(found.join(to, "root", "left").select("id", F.coalesce("p", "root").alias("root")), "found")

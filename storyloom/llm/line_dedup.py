@@ -1,19 +1,20 @@
 """Fuzzy line dedup: MinHash signatures of character shingles, banding, exact Jaccard verification, union-find.
 
-Lines are compared without white space at their ends and in lower case; lines without other characters are left alone. Only
-built-in column functions are used.
+Lines are compared without white space at their ends; lines without other characters are left alone. Only built-in column
+functions are used.
 
-1. Each line gives character shingles of SHINGLE characters, at its words' beginnings (or everywhere, if its words are
-   long, as in scripts without spaces). Their 64-bit hashes, sorted, fall into 16 bins by their first bits; the least of
+1. Each line gives character shingles of SHINGLE characters, at its words' beginnings (or everywhere, if these are few, as
+   in scripts without spaces). Their 64-bit hashes, sorted, fall into 16 bins by their first bits; the least of
    each bin is one permutation's MinHash. Each three of them in a row make a band, BANDS at most.
 2. Equal lines (128 bits) become one, before and after the shuffle, with their first place and count.
 3. Lines meet by band in an order drawn anew for each band; each is paired with the band's first and with the one before
    it, never all with all.
-4. Each pair is verified once: Jaccard of the sets of all shingles of VERIFY characters at least `similarity`.
+4. Each pair is verified once: Jaccard of the whole sets of shingles of VERIFY characters, taken at the same places, at
+   least `similarity`. A word that differs in a line of 60 costs about two of them.
 5. Contraction unites linked lines; of each group the first line by (doc_id, line number) stays.
 
-At similarity 0.8 by whole words a band matches with probability 0.37, and one of 12 with 0.996; more edits in more
-places lower it.
+At similarity 0.8 the longer signature shingles agree in about 0.72, so a band matches with probability 0.37 and one of
+12 with 0.996.
 
 Defined results: null and empty texts have no lines to drop. A null doc_id comes before all others. Rows that repeat a
 doc_id and text keep and lose the same lines. Lines of one character count as any other. An empty table gives no rows.
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from storyloom.llm import scratch
 from storyloom.llm.components import connected_components
 
-SHINGLE, VERIFY, BANDS = 12, 5, 12
+SHINGLE, VERIFY, BANDS = 12, 8, 12
 WHITE = " \t\n\x0b\x0c\r"
 #: Stands for a null doc_id where one must be compared.
 NULL_ID = -(2**63)
@@ -37,7 +38,27 @@ BROADCAST_ROWS = 500_000
 
 
 def normal(line: Column) -> Column:
-    return F.lower(F.btrim(line, F.lit(WHITE)))
+    """The line without white space at its ends. Trimming spaces looks at the ends alone; trimming a set of characters walks
+    the whole line, so it is left to lines that have another one there."""
+    t = F.trim(line)
+    other = F.lit(False)
+    for c in WHITE[1:]:
+        other = other | F.startswith(t, F.lit(c)) | F.endswith(t, F.lit(c))
+    return F.when(other, F.btrim(line, F.lit(WHITE))).otherwise(t)
+
+
+def shingles(line: Column, size: int) -> Column:
+    """Character shingles at the beginnings of words."""
+    return F.regexp_extract_all(line, F.lit(f"(?s)(?=(.{{1,{size}}}))\\S++\\s*+"), 1)
+
+
+def all_shingles(line: Column, size: int) -> Column:
+    return F.regexp_extract_all(line, F.lit(f"(?s)(?=(.{{1,{size}}}))."), 1)
+
+
+def dense(found: Column, line: Column) -> Column:
+    """Whether words begin often enough for their shingles to stand for the line; in scripts without spaces they don't."""
+    return F.size(found) * 24 >= F.octet_length(line)
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -49,10 +70,8 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 def _signed(lines: DataFrame) -> DataFrame:
     """Lines with their bands in columns b0.. (null where there are fewer)."""
-    spaces = F.octet_length("line") - F.octet_length(F.replace(F.col("line"), F.lit(" "), F.lit("")))
-    at_words = F.regexp_extract_all("line", F.lit(f"(?s)(?=(.{{1,{SHINGLE}}}))\\S++\\s*+"), 1)
-    anywhere = F.regexp_extract_all("line", F.lit(f"(?s)(?=(.{{1,{SHINGLE}}}))."), 1)
-    d = lines.withColumn("_s", F.when(F.octet_length("line") <= 20 * (spaces + 1), at_words).otherwise(anywhere))
+    d = lines.withColumn("_s", shingles(F.col("line"), SHINGLE))
+    d = d.withColumn("_s", F.when(dense(F.col("_s"), F.col("line")), F.col("_s")).otherwise(all_shingles(F.col("line"), SHINGLE)))
     d = d.select("doc_id", "line_no", "h", F.xxhash64("line", F.lit(7)).alias("g"), F.sort_array(F.transform("_s", lambda s: F.xxhash64(s))).alias("_s"))
     bin_of = lambda x: F.shiftrightunsigned(x, 60)
     d = d.withColumn("_m", F.filter("_s", lambda x, i: (i == 0) | (bin_of(x) != bin_of(F.get(F.col("_s"), i - 1)))))
@@ -76,10 +95,6 @@ def _candidates(firsts: DataFrame) -> DataFrame:
     return pairs.select(F.least("h", "o").alias("a"), F.greatest("h", "o").alias("b")).distinct()
 
 
-def _shingle_set(line: Column) -> Column:
-    return F.array_distinct(F.transform(F.regexp_extract_all(line, F.lit(f"(?s)(?=(.{{1,{VERIFY}}}))."), 1), lambda s: F.xxhash64(s)))
-
-
 def _verified(spark: SparkSession, docs: DataFrame, firsts: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
     """The pairs whose lines are similar. Texts are fetched for the lines in question only, from where each is first."""
     wanted = pairs.select(F.col("a").alias("h")).union(pairs.select("b")).distinct()
@@ -91,17 +106,28 @@ def _verified(spark: SparkSession, docs: DataFrame, firsts: DataFrame, pairs: Da
     texts = scratch.save(spark, got.select(F.xxhash64("line").alias("h"), "line").join(wanted, "h", "left_semi").dropDuplicates(["h"]), "line-texts")
     x, y = texts.select(F.col("h").alias("a"), F.col("line").alias("x")), texts.select(F.col("h").alias("b"), F.col("line").alias("y"))
     both = pairs.join(x, "a").join(y, "b")
-    # Sets that are this similar are no further apart in size than that; a set has at most as many shingles as the line
-    # has characters, so only lines without repeats are told apart by length, and sets are compared for all others.
-    sets = both.select("a", "b", _shingle_set(F.col("x")).alias("x"), _shingle_set(F.col("y")).alias("y"))
-    sets = sets.where((F.size("x") >= similarity * F.size("y")) & (F.size("y") >= similarity * F.size("x")))
-    sets = sets.withColumn("n", F.size(F.array_intersect("x", "y"))).where(F.col("n") >= similarity * (F.size("x") + F.size("y") - F.col("n")))
+    # A pair with a line that needs all its shingles is compared by all, for both lines alike.
+    x, y = F.col("x"), F.col("y")
+    both = both.withColumns({"xs": shingles(x, VERIFY), "ys": shingles(y, VERIFY)})
+    enough = dense(F.col("xs"), x) & dense(F.col("ys"), y)
+    sets = both.select("a", "b", *(F.array_distinct(F.when(enough, F.col(f"{c}s")).otherwise(all_shingles(F.col(c), VERIFY))).alias(c) for c in "xy"))
+    # The row number keeps Catalyst from moving the filter below the sets, where it would make them several times.
+    sets = sets.select("a", "b", F.size(F.array_intersect("x", "y")).alias("n"), (F.size("x") + F.size("y")).alias("both"), F.monotonically_increasing_id().alias("_row"))
+    sets = sets.where((F.col("_row") >= 0) & (F.col("n") >= similarity * (F.col("both") - F.col("n"))))
     return scratch.save(spark, sets.select("a", "b"), "line-links")
 
 
 def find(spark: SparkSession, documents: DataFrame, similarity: float = 0.8) -> DataFrame:
     """doc_id, line_no (from 0) and h of each line that goes, with keep_doc_id and keep_line_no of the one that stays."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    with scratch.scope(spark) as kept:
+        to = kept(_keepers(spark, docs, similarity))
+    met = _lines(docs).select("doc_id", "line_no", "h").join(small(to), "h")
+    return met.where(~(F.col("doc_id").eqNullSafe(F.col("keep_doc_id")) & (F.col("line_no") == F.col("keep_line_no")))).select("doc_id", "line_no", "h", "keep_doc_id", "keep_line_no")
+
+
+def _keepers(spark: SparkSession, docs: DataFrame, similarity: float) -> DataFrame:
+    """(h, keep_doc_id, keep_line_no) of the lines that occur more than once or are linked."""
     # The place is one decimal, so that the aggregate stays in its hash map and equal lines meet before the shuffle.
     span = F.lit(1 << 32).cast("decimal(10,0)")
     place = F.coalesce("doc_id", F.lit(NULL_ID)).cast("decimal(20,0)") * span + F.col("line_no").cast("decimal(10,0)")
@@ -113,15 +139,14 @@ def find(spark: SparkSession, documents: DataFrame, similarity: float = 0.8) ->
     named = firsts.select("h", "doc_id", "line_no", "n").join(small(groups.withColumnRenamed("id", "h")), "h", "left")
     several = named.where("n > 1 or root is not null").withColumn("root", F.coalesce("root", "h"))
     keeper = several.groupBy("root").agg(F.min(F.struct("doc_id", "line_no")).alias("keep"))
-    to = scratch.save(spark, several.join(keeper, "root").select("h", F.col("keep.doc_id").alias("keep_doc_id"), F.col("keep.line_no").alias("keep_line_no")), "line-keepers")
-    met = _lines(docs).select("doc_id", "line_no", "h").join(small(to), "h")
-    return met.where(~(F.col("doc_id").eqNullSafe(F.col("keep_doc_id")) & (F.col("line_no") == F.col("keep_line_no")))).select("doc_id", "line_no", "h", "keep_doc_id", "keep_line_no")
+    return scratch.save(spark, several.join(keeper, "root").select("h", F.col("keep.doc_id").alias("keep_doc_id"), F.col("keep.line_no").alias("keep_line_no")), "line-keepers")
 
 
 def drop_lines(spark: SparkSession, documents: DataFrame, similarity: float = 0.8) -> DataFrame:
     """documents without the lines that go, with all columns."""
-    gone = find(spark, documents, similarity).where("doc_id is not null")
-    gone = scratch.save(spark, gone.groupBy(F.col("doc_id").alias("_doc_id")).agg(F.collect_set(F.xxhash64("line_no", "h")).alias("_gone")), "lines-gone")
+    with scratch.scope(spark) as kept:
+        gone = find(spark, documents, similarity).where("doc_id is not null")
+        gone = kept(scratch.save(spark, gone.groupBy(F.col("doc_id").alias("_doc_id")).agg(F.collect_set(F.xxhash64("line_no", "h")).alias("_gone")), "lines-gone"))
     columns = documents.columns
     met = documents.join(small(gone, 50_000), F.col("doc_id").cast("long") == F.col("_doc_id"), "left").drop("_doc_id")
     kept = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains(F.col("_gone"), F.xxhash64(i, F.xxhash64(normal(x)))))

@@ -278,11 +278,16 @@ def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
 
 def _linked(spark: SparkSession, docs: DataFrame, rule: Rule, classes: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (a, b) of classes whose sets link. Sets are made again for the documents in question only."""
+    with scratch.scope(spark) as kept:
+        return kept(_checked(spark, docs, rule, classes, pairs))
+
+
+def _checked(spark: SparkSession, docs: DataFrame, rule: Rule, classes: DataFrame, pairs: DataFrame) -> DataFrame:
     keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
     ids = classes.join(keys, "key", "left_semi").select(F.coalesce("doc", F.lit(-1)).alias("doc"))
     wanted = spark.sparkContext.broadcast(_filter_of(ids))
     if not len(wanted.value):
-        return pairs.select("a", "b").where("false")
+        return scratch.save(spark, pairs.select("a", "b").where("false"), "linked")
     sets = scratch.save(spark, docs.mapInArrow(_sets_of(rule, wanted), "key long, found binary"), "sets")
     if not sets.groupBy("key").count().where("count > 1").isEmpty():  # rows that repeat a doc_id, or ids that the filter let through
         sets = sets.groupBy("key").agg(F.first("found").alias("found"))
@@ -309,6 +314,11 @@ def _rest(rule: Rule, hot: DataFrame, groups: DataFrame) -> DataFrame:
 def link_groups(spark: SparkSession, documents: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
     """doc_id, n_shingles and component_id of each row of documents."""
     scratch.bound_batches(spark)
+    with scratch.scope(spark) as kept:
+        return kept(scratch.save(spark, _groups(spark, documents, size, percent), "ngram-groups"))
+
+
+def _groups(spark: SparkSession, documents: DataFrame, size: int, percent: int) -> DataFrame:
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     for seed in range(8):
         rule = Rule(size, percent, seed * 0x9E3779B9)
@@ -341,7 +351,7 @@ def link_groups(spark: SparkSession, documents: DataFrame, size: int = 3, percen
 def keep_one(spark: SparkSession, documents: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
     """documents without those whose group has a lesser doc_id, with all columns. Of rows that repeat a doc_id one stays
     if they have words. Rows without doc_id stay, as nothing names them."""
-    groups = scratch.save(spark, link_groups(spark, documents, size, percent), "groups")
+    groups = link_groups(spark, documents, size, percent)
     gone = small(groups.where("doc_id <> component_id").select("doc_id").distinct())
     kept = documents.join(gone, "doc_id", "left_anti").select(documents.columns)
     twice = groups.where("n_shingles > 0 and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")

@@ -3,6 +3,8 @@ lost executor loses none of them; they go when the driver's JVM ends, or earlier
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +13,29 @@ from pyspark.sql import DataFrame, SparkSession
 OWN_FOLDER = "file:///tmp/checkpoints/storyloom"
 
 
+_scope: contextvars.ContextVar[list | None] = contextvars.ContextVar("scratch scope", default=None)
+
+
+@contextlib.contextmanager
+def scope(spark: SparkSession):
+    """Tables saved within go at its end, but for those given to the function that it yields; these pass to the scope around
+    it. What is returned from a scope must read kept tables only."""
+    outer, mine, kept = _scope.get(), [], []
+    token = _scope.set(mine)
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.append(df.scratch_path)
+        return df
+
+    try:
+        yield keep
+    finally:
+        _scope.reset(token)
+        drop(spark, *(p for p in mine if p not in kept))
+        if outer is not None:
+            outer += [p for p in mine if p in kept]
+
+
 def root(spark: SparkSession) -> str:
     return (spark.conf.get("spark.checkpoint.dir", None) or OWN_FOLDER).rstrip("/") + f"/{spark.sparkContext.applicationId}"
 
@@ -41,7 +66,11 @@ def save(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """The frame, written and read again."""
     path = new_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if (mine := _scope.get()) is not None:
+        mine.append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
 
 
 def _hadoop(spark: SparkSession, path: str):
