@@ -60,7 +60,7 @@ def encoding_of(token: str) -> int:
     return next(k for k, ix in enumerate(_INDEX) if held <= ix.keys())
 
 
-@lru_cache(100_000)
+@lru_cache(20_000)
 def far_from_random(token: str, encoding: int) -> float:
     """Three times the least p-value of the battery (1 at most) under independent uniform draws from the alphabet."""
     x = np.fromiter(map(_INDEX[encoding].__getitem__, token), np.int64, len(token))
@@ -117,7 +117,7 @@ def candidates(text: str, base: list) -> list[tuple[int, int, int, float]]:
         if any(x < b and a < y for x, _, y in base):
             continue
         e = encoding_of(t)
-        out.append((a, b, e, far_from_random(t, e) if b - a <= 4096 else far_from_random.__wrapped__(t, e)))
+        out.append((a, b, e, far_from_random(t, e) if b - a <= 128 else far_from_random.__wrapped__(t, e)))
     return out
 
 
