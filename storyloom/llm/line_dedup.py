@@ -148,7 +148,8 @@ def drop_lines(spark: SparkSession, documents: DataFrame, similarity: float = 0.
         gone = find(spark, documents, similarity).where("doc_id is not null")
         gone = kept(scratch.save(spark, gone.groupBy(F.col("doc_id").alias("_doc_id")).agg(F.collect_set(F.xxhash64("line_no", "h")).alias("_gone")), "lines-gone"))
     columns = documents.columns
-    met = documents.join(small(gone, 50_000), F.col("doc_id").cast("long") == F.col("_doc_id"), "left").drop("_doc_id")
+    # No hint: whether these arrays are small enough to be broadcast is for the session's threshold to say.
+    met = documents.join(gone, F.col("doc_id").cast("long") == F.col("_doc_id"), "left").drop("_doc_id")
     kept = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains(F.col("_gone"), F.xxhash64(i, F.xxhash64(normal(x)))))
     out = met.withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")))
     if "n_chars" in columns:
