@@ -147,11 +147,12 @@ def drop_lines(spark: SparkSession, documents: DataFrame, similarity: float = 0.
     with scratch.scope(spark) as kept:
         gone = find(spark, documents, similarity).where("doc_id is not null")
         gone = kept(scratch.save(spark, gone.groupBy(F.col("doc_id").alias("_doc_id")).agg(F.collect_set(F.xxhash64("line_no", "h")).alias("_gone")), "lines-gone"))
-    columns = documents.columns
+    whole = documents.select(F.struct("*").alias("_doc"))  # whatever the columns' names are
     # No hint: whether these arrays are small enough to be broadcast is for the session's threshold to say.
-    met = documents.join(gone, F.col("doc_id").cast("long") == F.col("_doc_id"), "left").drop("_doc_id")
-    kept = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains(F.col("_gone"), F.xxhash64(i, F.xxhash64(normal(x)))))
-    out = met.withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")))
-    if "n_chars" in columns:
-        out = out.withColumn("n_chars", F.when(F.col("_gone").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(documents.schema["n_chars"].dataType)))
-    return out.select(columns)
+    met = whole.join(gone, F.col("_doc.doc_id").cast("long") == F.col("_doc_id"), "left")
+    kept = F.filter(F.split("_doc.text", "\n"), lambda x, i: ~F.array_contains(F.col("_gone"), F.xxhash64(i, F.xxhash64(normal(x)))))
+    met = met.withColumn("_new", F.when(F.col("_gone").isNotNull(), F.array_join(kept, "\n")))
+    doc = F.col("_doc").withField("text", F.coalesce("_new", "_doc.text"))
+    if "n_chars" in documents.columns:
+        doc = doc.withField("n_chars", F.when(F.col("_gone").isNull(), F.col("_doc.n_chars")).otherwise(F.length("_new").cast(documents.schema["n_chars"].dataType)))
+    return met.select(doc.alias("_doc")).select("_doc.*")

@@ -17,7 +17,7 @@ from storyloom.llm import (
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 SF = "/root/testdata/sf0.001"
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, _t string, p_good double, kept boolean"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, _t string, _doc double, _gone boolean"
 LONG = "one long text of many words " * 4000
 ODD = [
     (1, None, "en", "a", None, "x", 0.5, True), (2, "", "en", None, 0, "x", None, None), (None, "a text without an id, and some words more", None, "a", 1, None, None, None),
