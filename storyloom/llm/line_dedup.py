@@ -1,21 +1,16 @@
 """Fuzzy line dedup: MinHash signatures of character shingles, banding, exact Jaccard verification, union-find.
 
-Lines are compared without white space at their ends; lines without other characters are left alone. Only built-in column
-functions are used.
+Lines are compared without white space at their ends and in lower case; lines without other characters are left alone. Only
+built-in column functions are used.
 
-1. Each line gives character shingles of SHINGLE characters, at its words' beginnings (or everywhere, if these are few, as
-   in scripts without spaces). Their 64-bit hashes, sorted, fall into 16 bins by their first bits; the least of
-   each bin is one permutation's MinHash. Each three of them in a row make a band, BANDS at most.
+1. Each line gives 64-bit hashes of all its runs of SHINGLE bytes. In their order, which is the same for all lines, each
+   three in a row make a band, BANDS at most: lines whose least hashes agree in a row of three meet.
 2. Equal lines (128 bits) become one, before and after the shuffle, with their first place and count.
 3. Lines meet by band in an order drawn anew for each band; each is paired with the band's first and with the one before
    it, never all with all.
-4. Each pair is verified once: Jaccard of the whole sets of shingles of VERIFY characters, taken at the same places, at
-   least `similarity`. A word that differs in a line of 60 costs about two of them.
+4. Each pair is verified once: Jaccard of the sets of all shingles of VERIFY characters at least `similarity`.
 5. Contraction unites linked lines; of each group the first line by (doc_id, line number) stays.
 
-At similarity 0.8 the longer signature shingles agree in about 0.72, so a band matches with probability 0.37 and one of
-12 with 0.996.
-
 Defined results: null and empty texts have no lines to drop. A null doc_id comes before all others. Rows that repeat a
 doc_id and text keep and lose the same lines. Lines of one character count as any other. An empty table gives no rows.
 Only doc_id and text are read; drop_lines() keeps all columns of documents, whatever their names, and counts n_chars anew
@@ -29,7 +24,7 @@ from pyspark.sql import functions as F
 from storyloom.llm import scratch
 from storyloom.llm.components import connected_components
 
-SHINGLE, VERIFY, BANDS = 12, 8, 12
+SHINGLE, VERIFY, BANDS = 8, 5, 12
 WHITE = " \t\n\x0b\x0c\r"
 #: Stands for a null doc_id where one must be compared.
 NULL_ID = -(2**63)
@@ -38,27 +33,26 @@ BROADCAST_ROWS = 500_000
 
 
 def normal(line: Column) -> Column:
-    """The line without white space at its ends. Trimming spaces looks at the ends alone; trimming a set of characters walks
+    """The line in lower case, without white space at its ends. Trimming spaces looks at the ends alone; trimming a set of characters walks
     the whole line, so it is left to lines that have another one there."""
     t = F.trim(line)
     other = F.lit(False)
     for c in WHITE[1:]:
         other = other | F.startswith(t, F.lit(c)) | F.endswith(t, F.lit(c))
-    return F.when(other, F.btrim(line, F.lit(WHITE))).otherwise(t)
-
+    return F.lower(F.when(other, F.btrim(line, F.lit(WHITE))).otherwise(t))
 
-def shingles(line: Column, size: int) -> Column:
-    """Character shingles at the beginnings of words."""
-    return F.regexp_extract_all(line, F.lit(f"(?s)(?=(.{{1,{size}}}))\\S++\\s*+"), 1)
 
+def runs(line: Column, size: int) -> Column:
+    """Hashes of all runs of so many bytes; a shorter line is one."""
+    # The bytes are bound as an array's only element, so that they are made once and not for each run.
+    each = lambda b: F.transform(F.sequence(F.lit(1), F.greatest(F.octet_length(b) - size + 1, F.lit(1))), lambda i: F.xxhash64(F.substr(b, i, F.lit(size))))
+    return F.get(F.transform(F.array(line.cast("binary")), each), F.lit(0))
 
-def all_shingles(line: Column, size: int) -> Column:
-    return F.regexp_extract_all(line, F.lit(f"(?s)(?=(.{{1,{size}}}))."), 1)
 
-
-def dense(found: Column, line: Column) -> Column:
-    """Whether words begin often enough for their shingles to stand for the line; in scripts without spaces they don't."""
-    return F.size(found) * 24 >= F.octet_length(line)
+def shingles(line: Column, size: int) -> Column:
+    """The set of hashes of all shingles of so many characters; a shorter line is one."""
+    some = F.when(F.length(line) <= size, F.array(line)).otherwise(F.regexp_extract_all(line, F.lit(f"(?s)(?=(.{{{size}}}))."), 1))
+    return F.array_distinct(F.when(F.octet_length(line) == F.length(line), runs(line, size)).otherwise(F.transform(some, lambda s: F.xxhash64(s))))
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -70,11 +64,8 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 def _signed(lines: DataFrame) -> DataFrame:
     """Lines with their bands in columns b0.. (null where there are fewer)."""
-    d = lines.withColumn("_s", shingles(F.col("line"), SHINGLE))
-    d = d.withColumn("_s", F.when(dense(F.col("_s"), F.col("line")), F.col("_s")).otherwise(all_shingles(F.col("line"), SHINGLE)))
-    d = d.select("doc_id", "line_no", "h", F.xxhash64("line", F.lit(7)).alias("g"), F.sort_array(F.transform("_s", lambda s: F.xxhash64(s))).alias("_s"))
-    bin_of = lambda x: F.shiftrightunsigned(x, 60)
-    d = d.withColumn("_m", F.filter("_s", lambda x, i: (i == 0) | (bin_of(x) != bin_of(F.get(F.col("_s"), i - 1)))))
+    least = F.slice(F.sort_array(F.array_distinct(runs(F.col("line"), SHINGLE))), 1, BANDS + 2)
+    d = lines.select("doc_id", "line_no", "h", F.xxhash64("line", F.lit(7)).alias("g"), least.alias("_m"))
     m, size = F.col("_m"), F.size("_m")
     bands = F.transform(F.slice(m, 1, BANDS), lambda x, i: F.xxhash64(x, F.get(m, (i + 1) % size), F.get(m, (i + 2) % size)))
     d = d.withColumn("_b", bands)
@@ -106,11 +97,7 @@ def _verified(spark: SparkSession, docs: DataFrame, firsts: DataFrame, pairs: Da
     texts = scratch.save(spark, got.select(F.xxhash64("line").alias("h"), "line").join(wanted, "h", "left_semi").dropDuplicates(["h"]), "line-texts")
     x, y = texts.select(F.col("h").alias("a"), F.col("line").alias("x")), texts.select(F.col("h").alias("b"), F.col("line").alias("y"))
     both = pairs.join(x, "a").join(y, "b")
-    # A pair with a line that needs all its shingles is compared by all, for both lines alike.
-    x, y = F.col("x"), F.col("y")
-    both = both.withColumns({"xs": shingles(x, VERIFY), "ys": shingles(y, VERIFY)})
-    enough = dense(F.col("xs"), x) & dense(F.col("ys"), y)
-    sets = both.select("a", "b", *(F.array_distinct(F.when(enough, F.col(f"{c}s")).otherwise(all_shingles(F.col(c), VERIFY))).alias(c) for c in "xy"))
+    sets = both.select("a", "b", *(shingles(F.col(c), VERIFY).alias(c) for c in "xy"))
     # The row number keeps Catalyst from moving the filter below the sets, where it would make them several times.
     sets = sets.select("a", "b", F.size(F.array_intersect("x", "y")).alias("n"), (F.size("x") + F.size("y")).alias("both"), F.monotonically_increasing_id().alias("_row"))
     sets = sets.where((F.col("_row") >= 0) & (F.col("n") >= similarity * (F.col("both") - F.col("n"))))

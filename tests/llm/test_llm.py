@@ -122,6 +122,23 @@ def test_line_dedup_edges(spark, odd, empty):
     assert texts == {1: (near + "\nkeep me", 1), 2: ("other", 5), 3: ("keep  me", 8)}
 
 
+def test_line_dedup_compares_all_characters_without_case(spark):
+    rng, rows, want = random.Random(12), [], set()
+    shingles = lambda t: {t[i : i + 5] for i in range(len(t) - 4)}
+    for k in range(0, 200, 2):
+        one = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(3, 9))) for _ in range(16 if k % 4 else 10)]
+        two = list(one)
+        two[rng.randrange(len(two))] = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(3, 9)))
+        x, y = " ".join(one), " ".join(two)
+        rows += [(k, x), (k + 1, y.title())]
+        if (n := len(shingles(x) & shingles(y))) >= 0.8 * (len(shingles(x)) + len(shingles(y)) - n):
+            want.add((k + 1, k))
+    rows += [(1000, "Only CAPITALS are other here"), (1001, "only capitals are Other here")]
+    got = {(r["doc_id"], r["keep_doc_id"]) for r in line_dedup.find(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want.add((1001, 1000))
+    assert got <= want and len(got) >= 0.93 * len(want) and (1001, 1000) in got
+
+
 # 2 ------------------------------------------------------------------------------------------------
 
 
