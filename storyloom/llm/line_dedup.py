@@ -6,10 +6,12 @@ built-in column functions are used.
 1. Each line gives 64-bit hashes of all its runs of SHINGLE bytes. In their order, which is the same for all lines, each
    three in a row make a band, BANDS at most: lines whose least hashes agree in a row of three meet.
 2. Equal lines (128 bits) become one, before and after the shuffle, with their first place and count.
-3. Lines meet by band in an order drawn anew for each band; each is paired with the band's first and with the one before
-   it, never all with all.
+3. Lines meet by band in an order drawn anew for each band; each is paired with the band's first and with the one before it.
 4. Each pair is verified once: Jaccard of the sets of all shingles of VERIFY characters at least `similarity`.
-5. Contraction unites linked lines; of each group the first line by (doc_id, line number) stays.
+5. Contraction unites linked lines. Lines of one band that are still in different groups are then compared as well: all
+   with all in bands of at most SMALL lines; lines of larger bands where they share one of the rare shingles that any
+   similar pair must share (prefix, length and positional filters). No link within a band is lost.
+6. Of each group the first line by (doc_id, line number) stays.
 
 Defined results: null and empty texts have no lines to drop. A null doc_id comes before all others. Rows that repeat a
 doc_id and text keep and lose the same lines. Lines of one character count as any other. An empty table gives no rows.
@@ -28,6 +30,10 @@ SHINGLE, VERIFY, BANDS = 8, 5, 12
 WHITE = " \t\n\x0b\x0c\r"
 #: Stands for a null doc_id where one must be compared.
 NULL_ID = -(2**63)
+#: A band of at most so many lines gives all pairs that are in different groups.
+SMALL = 64
+#: Lines with one shingle that meet in one task.
+SALTED = 1000
 #: Rows that may be broadcast.
 BROADCAST_ROWS = 500_000
 
@@ -77,24 +83,59 @@ def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
-def _candidates(firsts: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b) of lines that meet in a band."""
+def _meetings(firsts: DataFrame) -> DataFrame:
+    """(h, band, hub, last) of the lines that share a band with others: with its first line and the one before."""
     rows = firsts.select("h", F.explode(F.array_distinct(F.array(*(f"b{k}" for k in range(BANDS))))).alias("band")).where("band is not null")
     w = Window.partitionBy("band").orderBy(F.xxhash64("h", "band"), "h")
-    met = rows.select("h", F.first("h").over(w).alias("hub"), F.lag("h").over(w).alias("last"))
-    pairs = met.where("last is not null").select("h", F.explode(F.array("hub", "last")).alias("o")).where("h <> o")
-    return pairs.select(F.least("h", "o").alias("a"), F.greatest("h", "o").alias("b")).distinct()
+    met = rows.select("h", "band", F.first("h").over(w).alias("hub"), F.lag("h").over(w).alias("last"), F.lead("h").over(w).alias("next"))
+    return met.where("last is not null or next is not null").drop("next")
 
 
-def _verified(spark: SparkSession, docs: DataFrame, firsts: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
-    """The pairs whose lines are similar. Texts are fetched for the lines in question only, from where each is first."""
-    wanted = pairs.select(F.col("a").alias("h")).union(pairs.select("b")).distinct()
+def _pair(a: str, b: str) -> list[Column]:
+    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+
+
+def _candidates(met: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b) of lines that meet in a band."""
+    return met.where("last is not null").select("h", F.explode(F.array("hub", "last")).alias("o")).where("h <> o").select(*_pair("h", "o")).distinct()
+
+
+def _rest(spark: SparkSession, docs: DataFrame, firsts: DataFrame, met: DataFrame, groups: DataFrame, similarity: float) -> DataFrame:
+    """Distinct pairs (a, b) of lines that share a band and are in different groups, but for those that can't be similar."""
+    rows = met.select("h", "band").join(groups.withColumnRenamed("id", "h"), "h", "left").withColumn("root", F.coalesce("root", "h"))
+    # Both lines of a band of two were compared.
+    open_ = rows.groupBy("band").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).where("n > 2 and low <> high").select("band", "n")
+    rows = scratch.save(spark, rows.join(open_, "band"), "line-rest")
+    x, y = (rows.where(f"n <= {SMALL}").select("band", F.col("h").alias(f"h{s}"), F.col("root").alias(f"root{s}")) for s in "xy")
+    pairs = x.join(y, "band").where("hx < hy and rootx <> rooty").select(*_pair("hx", "hy"))
+    many = scratch.save(spark, rows.where(f"n > {SMALL}").select("h", "root").distinct(), "line-many")
+    if not many.isEmpty():
+        sets = _texts(spark, docs, firsts, many.select("h")).select("h", shingles(F.col("line"), VERIFY).alias("s"))
+        tokens = scratch.save(spark, sets.select("h", F.size("s").alias("n"), F.explode("s").alias("token")), "line-shingles")
+        tokens = tokens.join(tokens.groupBy("token").agg(F.count("*").alias("c")), "token")
+        tokens = tokens.withColumn("at", F.row_number().over(Window.partitionBy("h").orderBy("c", "token")) - 1)
+        tokens = tokens.where(F.col("at") <= F.col("n") - F.ceil(similarity * F.col("n") - 1e-9)).join(many, "h")
+        tokens = scratch.save(spark, tokens.where("c > 1").withColumn("parts", F.ceil(F.col("c") / SALTED)), "line-prefixes")
+        side = lambda s, salt: tokens.select("token", salt.alias("salt"), *(F.col(c).alias(f"{c}{s}") for c in ("h", "root", "n", "at")))
+        met = side("x", F.pmod(F.xxhash64("h"), F.col("parts"))).join(side("y", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))), ["token", "salt"]).where("hx < hy and rootx <> rooty")
+        need = similarity / (1 + similarity) * (F.col("nx") + F.col("ny")) - 1e-9
+        pairs = pairs.union(met.where(F.least(F.col("nx") - F.col("atx"), F.col("ny") - F.col("aty")) >= need).select(*_pair("hx", "hy")))
+    return pairs.distinct()
+
+
+def _texts(spark: SparkSession, docs: DataFrame, firsts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(h, line) of the lines wanted, fetched from where each is first."""
     places = firsts.select("h", "doc_id", "line_no").join(wanted, "h", "left_semi")
     places = places.groupBy("doc_id").agg(F.collect_list("line_no").alias("nos"))
     got = docs.withColumn("doc_id", F.coalesce("doc_id", F.lit(NULL_ID))).join(small(places.withColumn("doc_id", F.coalesce("doc_id", F.lit(NULL_ID)))), "doc_id")
     lines = F.split("text", "\n")
     got = got.withColumn("_l", lines).select(F.explode(F.transform("nos", lambda i: normal(F.coalesce(F.get(F.col("_l"), i), F.lit("")))).alias("line")).alias("line"))
-    texts = scratch.save(spark, got.select(F.xxhash64("line").alias("h"), "line").join(wanted, "h", "left_semi").dropDuplicates(["h"]), "line-texts")
+    return scratch.save(spark, got.select(F.xxhash64("line").alias("h"), "line").join(wanted, "h", "left_semi").dropDuplicates(["h"]), "line-texts")
+
+
+def _verified(spark: SparkSession, docs: DataFrame, firsts: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
+    """The pairs whose lines are similar. Texts are fetched for the lines in question only."""
+    texts = _texts(spark, docs, firsts, pairs.select(F.col("a").alias("h")).union(pairs.select("b")).distinct())
     x, y = texts.select(F.col("h").alias("a"), F.col("line").alias("x")), texts.select(F.col("h").alias("b"), F.col("line").alias("y"))
     both = pairs.join(x, "a").join(y, "b")
     sets = both.select("a", "b", *(shingles(F.col(c), VERIFY).alias(c) for c in "xy"))
@@ -121,8 +162,13 @@ def _keepers(spark: SparkSession, docs: DataFrame, similarity: float) -> DataFra
     first = _signed(_lines(docs)).groupBy("h", "g").agg(F.min(place).alias("p"), F.count("*").alias("n"), *(F.first(f"b{k}").alias(f"b{k}") for k in range(BANDS)))
     first = first.withColumn("line_no", F.pmod("p", span)).withColumn("doc_id", ((F.col("p") - F.col("line_no")) / span).cast("long"))
     firsts = scratch.save(spark, first.select("h", "g", F.nullif("doc_id", F.lit(NULL_ID)).alias("doc_id"), F.col("line_no").cast("int").alias("line_no"), "n", *(f"b{k}" for k in range(BANDS))), "lines")
-    pairs = scratch.save(spark, _candidates(firsts), "line-pairs")
-    groups = connected_components(spark, _verified(spark, docs, firsts, pairs, similarity), "lines")
+    met = scratch.save(spark, _meetings(firsts), "line-meetings")
+    pairs = scratch.save(spark, _candidates(met), "line-pairs")
+    links = _verified(spark, docs, firsts, pairs, similarity)
+    groups = connected_components(spark, links, "lines")
+    rest = scratch.save(spark, _rest(spark, docs, firsts, met, groups, similarity).join(pairs, ["a", "b"], "left_anti"), "line-rest-pairs")
+    if not rest.isEmpty():
+        groups = connected_components(spark, links.union(_verified(spark, docs, firsts, rest, similarity)), "lines-all")
     named = firsts.select("h", "doc_id", "line_no", "n").join(small(groups.withColumnRenamed("id", "h")), "h", "left")
     several = named.where("n > 1 or root is not null").withColumn("root", F.coalesce("root", "h"))
     keeper = several.groupBy("root").agg(F.min(F.struct("doc_id", "line_no")).alias("keep"))

@@ -139,6 +139,18 @@ def test_line_dedup_compares_all_characters_without_case(spark):
     assert got <= want and len(got) >= 0.93 * len(want) and (1001, 1000) in got
 
 
+@pytest.mark.parametrize("small", [64, 4])
+def test_line_dedup_pairs_all_that_share_a_band(spark, monkeypatch, small):
+    monkeypatch.setattr(line_dedup, "SMALL", small)
+    rng, word = random.Random(13), lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6))
+    common, rows = " ".join(word() for _ in range(50)), []
+    for k in range(0, 600, 2):
+        own = [word() for _ in range(10)]
+        rows += [(k, f"{common} {' '.join(own)}"), (k + 1, f"{common} {' '.join([word() for _ in range(3)] + own[3:])}")]
+    got = {(r["doc_id"], r["keep_doc_id"]) for r in line_dedup.find(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got <= {(k + 1, k) for k in range(0, 600, 2)} and len(got) >= 0.98 * 300
+
+
 # 2 ------------------------------------------------------------------------------------------------
 
 
