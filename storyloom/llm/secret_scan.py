@@ -38,7 +38,7 @@ _ASSIGN = re.compile(r"""((?:p|P)(?:a|A)(?:s|S)(?:s|S)(?:(?:w|W)(?:o|O)(?:r|R)(?
 _ASSIGN_HINT = re.compile(r"[:=]\x20*[\"']?[A-Za-z0-9+/_.=-]")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")
-_RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{16,}")
+_RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}")
 
 ALPHABETS = (
     ("decimal", "0123456789"),

@@ -266,6 +266,12 @@ def test_secrets_battery_tells_random_from_text(spark):
     assert sum(got[i] for i in keys) >= 25 and not any(got[100 + i] for i in range(100))
 
 
+def test_secrets_after_an_equals_sign_are_candidates():
+    for before, key in (("auth=", "Zm9vYmFyQmF6UXV4MTIzNDU2Nzg5"), ("access_key=", "wJalrXUtnFEMIK7MDENGbPxRfiCYEXAMPLEKEY"), ("?sig==", "Zm9vYmFyQmF6UXV4MTIzNDU2Nzg5")):
+        text = f"x {before}{key}== y"
+        assert [text[a:b] for a, b, *_ in secret_scan.candidates(text, secret_scan.base_spans(text))] == [key]
+
+
 # 4 ------------------------------------------------------------------------------------------------
 
 
