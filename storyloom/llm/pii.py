@@ -5,11 +5,14 @@ per kind, that pass a check (parts, Luhn, number of digits). The expressions are
 in proportion to the text: possessive, and begun only where a match can begin. Spark's functions give a match's text but
 not its place, so places come from the lengths of the pieces between matches.
 
-Bootstrap. Seeds are the base spans. Tokens with a digit or an at sign are instances; the word before and the word after one,
-each with the token's coarse shape, are lexical patterns. The graph of distinct (pattern, instance) links is scored in turns:
-a pattern by the share of its instances' scores, damped for little support; an instance that is no seed by its best pattern.
-After ROUNDS turns, patterns of at least `confidence`, met with at least SUPPORT distinct seeds, report their other instances'
-occurrences as `context` spans. Patterns and instances are 64-bit hashes; all counts are aggregates over all documents.
+Bootstrap. Seeds are the base spans. Identifiers are runs: a token with a digit or an at sign, and the tokens of digits and
+marks that follow it on its line after single spaces, so that `+1 415-555-0101` or a card in groups of four is one. Runs that
+overlap a base span are seed instances, the others unknown ones. The word before a run and the word after it, each with the
+run's shape (at sign, letters, or digits by their number), are lexical patterns; no word is no pattern. The graph of distinct
+(pattern, instance) links is scored in turns: a pattern by the share of its instances' scores, damped for little support; an
+instance that is no seed by its best pattern. After ROUNDS turns, patterns of at least `confidence`, met with at least SUPPORT
+distinct seeds, report the other instances' occurrences of LEAST characters or more as `context` spans. Patterns and
+instances are 64-bit hashes; all counts are aggregates over all documents.
 
 Defined results: a null or empty text has no spans. Repeated rows each have theirs. A null doc_id stays null. An empty table
 gives no rows. Spans are in code points, the end exclusive. Only doc_id and text are read, whatever else there is."""
@@ -29,10 +32,13 @@ EXPRESSIONS = {
     "card": r"[0-9](?:[\x20-]?[0-9]){11,}+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-#: Tokens with a digit or an at sign.
-TOKEN = r"(?<!\S)(?=[^0-9@\s]*+[0-9@])\S++"
+#: Runs: a token with a digit or an at sign, then tokens of digits and marks on the same line.
+TOKEN = r"(?<!\S)(?=[^0-9@\s]*+[0-9@])\S++(?:\x20(?=[(+]*+[0-9])[0-9().,+/-]++(?!\S))*+"
+WHITE, QUOTES = " \t\n\x0b\x0c\r", "\"'([{<>}])"
 MARKS = ".,;:!?\"'()[]{}<>|*#$%&="
 ROUNDS, SUPPORT, DAMPING = 3, 5, 1.0
+#: Characters of the shortest identifier that is reported by its context.
+LEAST = 5
 _SPANS = "array<struct<start:int,end:int,m:string>>"
 
 
@@ -122,10 +128,13 @@ def base(docs: DataFrame) -> DataFrame:
         m = F.ltrim(s["m"], F.lit(MARKS))
         begin = s["start"] + F.length(s["m"]) - F.length(m)
         m = F.rtrim(m, F.lit(MARKS))
-        shape = F.when(F.contains(m, F.lit("@")), "@").when(m.rlike("[A-Za-z]"), "a").otherwise("9")
-        before = F.regexp_extract(F.substring(F.get(g, i), -64, 64), "(?<!\\S)(\\S++)\\s*+$", 1)
-        after = F.regexp_extract(F.substring(F.get(g, i + 1), 1, 64), "^\\s*+(\\S++)", 1)
-        return F.struct(begin.alias("start"), (begin + F.length(m)).alias("end"), F.xxhash64(F.lower(m)).alias("instance"), F.xxhash64(F.lit("L"), shape, F.lower(before)).alias("left"), F.xxhash64(F.lit("R"), shape, F.lower(after)).alias("right"))
+        digits = F.length(_digits(m))
+        shape = F.when(F.contains(m, F.lit("@")), "@").when(m.rlike("[A-Za-z]"), "a").when(digits < 5, "9").when(digits < 9, "99").otherwise("999")
+        # A gap's last white space is taken off first, so that the expression is tried at one place only.
+        before = F.regexp_extract(F.rtrim(F.get(g, i), F.lit(WHITE)), r"(\S++)\z", 1)
+        after = F.regexp_extract(F.get(g, i + 1), r"\A\s*+(\S++)", 1)
+        pattern = lambda side, word: F.when(word != "", F.xxhash64(F.lit(side), shape, F.lower(F.rtrim(F.ltrim(word, F.lit(QUOTES)), F.lit(QUOTES)))))
+        return F.struct(begin.alias("start"), (begin + F.length(m)).alias("end"), F.xxhash64(F.lower(m)).alias("instance"), pattern("L", before).alias("left"), pattern("R", after).alias("right"))
 
     d = d.withColumn("tokens", F.transform("_placed", token))
     return d.select("doc_id", F.xxhash64("_t").alias("thash"), *counts, "spans", "tokens")
@@ -135,9 +144,9 @@ def _discovered(spark: SparkSession, found: DataFrame, confidence: float) -> Dat
     """(doc_id, thash, more): the context spans."""
     within = F.exists("spans", lambda s: (s["start"] < F.col("t.end")) & (F.col("t.start") < s["end"]))
     seen = found.where("tokens is not null").select("doc_id", "thash", "spans", F.explode("tokens").alias("t"))
-    seen = seen.select("doc_id", "thash", "t.*", within.alias("seed")).where("end - start >= 5")
+    seen = seen.select("doc_id", "thash", "t.*", within.alias("seed"))
     seen = scratch.save(spark, seen, "pii-tokens")
-    links = seen.select("instance", "seed", F.explode(F.array("left", "right")).alias("pattern"))
+    links = seen.select("instance", "seed", F.explode(F.array("left", "right")).alias("pattern")).where("pattern is not null")
     links = scratch.save(spark, links.groupBy("pattern", "instance").agg(F.max("seed").alias("seed")), "pii-graph")
     scores = links.groupBy("instance").agg(F.max(F.col("seed").cast("double")).alias("score"))
     for k in range(ROUNDS):
@@ -148,7 +157,7 @@ def _discovered(spark: SparkSession, found: DataFrame, confidence: float) -> Dat
         best = links.join(patterns, "pattern", "left").groupBy("instance").agg(F.greatest(F.max(F.col("seed").cast("double")), F.coalesce(F.max("p"), F.lit(0.0))).alias("score"))
         scores = best
     good = patterns.where(F.col("p") >= confidence).select(F.col("pattern").alias("left"))
-    plain = seen.where("not seed")
+    plain = seen.where(f"not seed and end - start >= {LEAST}")
     met = plain.join(good, "left", "left_semi").select("doc_id", "thash", "start", "end").union(plain.join(good.withColumnRenamed("left", "right"), "right", "left_semi").select("doc_id", "thash", "start", "end"))
     return met.groupBy("doc_id", "thash").agg(F.collect_set(F.struct("start", F.lit(4).alias("kind"), "end")).alias("more"))
 
