@@ -3,26 +3,30 @@
 Texts are taken as their words (A-Z in lower case) with single spaces between. A document holds an item if some part of it
 is within `rate` edits a byte of the whole item.
 
-1. Windows of an item's size are laid where a document shares a run of ANCHOR words with the item, at the item's beginning
-   as that run tells it; an item of 40 words has 38 such runs, of which one must be whole. No document is walked
-   character by character but in numpy.
+1. Items are cut into segments of at most SEGMENT words; where a whole item is within the rate, one of its segments is.
+   Windows of a segment's size are laid where a document shares an anchor with it, at the segment's beginning as the anchor
+   tells it, in words and in bytes. Anchors are pairs of words up to GAPS apart: of a segment's pairs, all that chance would
+   seldom bring about by the words' counts in all documents, and in any case its LEAST rarest. Items of fewer than SHORT
+   words are anchored by single words, the rarest, so many that as many edits as are allowed leave one of them whole if
+   there are that many.
 2. CGK embedding: a random walk reads a window for three times its length, staying or moving on after each symbol by a
    random bit for (step, symbol), the same for all texts. Texts few edits apart give strings few positions apart.
 3. Bit-sampling LSH: WALKS embeddings with REPEATS samples of SAMPLED positions each; a window and an item that agree in
    all positions of any sample go on. With agreement a of an embedding's positions, 1 - (1 - a ** SAMPLED) ** (WALKS * REPEATS)
    of the pairs do: 0.99 at a = 0.5; unrelated texts, which agree in a fifteenth, once in a hundred.
-4. The edit distance of the item to the best part of the window (and a margin) is computed exactly, bit-parallel.
+4. The edit distance of the item to the best part of the window (and a margin) is computed exactly, bit-parallel. An edit
+   changes GRAM of the item's runs of GRAM characters at most; a window that lacks more of them than that can't be near.
 
 The items are the stated query set: they go to all tasks in blocks of at most BLOCK_BYTES of text, one pass over the
-documents for each. Documents are never shuffled.
+documents for each, and one to count the items' words. Documents are never shuffled. An item in which each word is
+changed has no anchor and isn't found; one of a single word is found where its word stands whole.
 
-Defined results: null or empty texts hold nothing and no document holds an item that is null or has fewer than ANCHOR
-words, which would say nothing. Items of equal text each count. Repeated rows each have their hits. Empty tables give no
+Defined results: null or empty texts hold nothing and no document holds an item that is null or has no words. Items of equal text each count. Repeated rows each have their hits. Empty tables give no
 hits. Of the tables only doc_id, item_id and text are read; clean() keeps all columns of documents, whatever their names."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -30,9 +34,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storyloom.llm import scratch
-from storyloom.llm.textkernel import Words, buffers, shingles, slices
-
-ANCHOR = 3
+from storyloom.llm.textkernel import PARTS, Words, buffers, merge_tables, slices, table_parts
+
+SEGMENT, SHORT, GAPS, LEAST = 256, 8, 3, 32
+#: A pair of words that chance brings about at most so often a word of text is an anchor.
+SELDOM = 3e-7
+#: Characters of the runs that are counted before an edit distance is computed.
+GRAM = 3
+#: Symbols of embeddings that are held at once.
+HELD = 16_000_000
 WALKS, REPEATS, SAMPLED = 3, 16, 3
 BLOCK_BYTES = 8_000_000
 HITS_SCHEMA = "doc_id long, item_id long, distance long, item_bytes long, first_word long"
@@ -88,108 +98,200 @@ def distance(item: bytes, text: bytes, limit: int) -> int:
     return best if best <= limit else limit + 1
 
 
+def _runs(n: np.ndarray) -> np.ndarray:
+    """0 .. n[0] - 1, 0 .. n[1] - 1 and so on."""
+    return np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+
+
+def grams(text: bytes) -> set[bytes]:
+    return {text[i : i + GRAM] for i in range(len(text) - GRAM + 1)}
+
+
 @dataclass
 class Items:
-    """One block of items, with the index of their word runs and their sampled embeddings."""
+    """One block of items: their words, their segments' sampled embeddings, and, once the words' shares of all text are
+    known, their anchors."""
 
     ids: list[int]
     texts: list[bytes]
     rate: float
-    runs: np.ndarray = field(init=False)
 
     def __post_init__(self):
-        column = pa.array([t.decode() for t in self.texts], pa.large_string())
-        data, offsets = buffers(column)
-        found, begin = [], [0]
+        data, offsets = buffers(pa.array([t.decode() for t in self.texts], pa.large_string()))
+        found, count, start = [], [], []
         for i, j in slices(offsets):
-            h, b = shingles(Words(data, offsets[i : j + 1]), ANCHOR)
-            found.append(h)
-            begin += list(b[1:] + begin[-1])
-        runs = np.concatenate(found) if found else np.zeros(0, np.uint64)
-        item = np.repeat(np.arange(len(self.texts)), np.diff(begin))
-        place = np.arange(len(runs)) - np.repeat(np.array(begin[:-1], np.int64), np.diff(begin)) if len(runs) else np.zeros(0, np.int64)
-        order = np.argsort(runs, kind="stable")
-        self.runs, self.item, self.place = runs[order], item[order], place[order]
+            w = Words(data, offsets[i : j + 1])
+            found.append(w.hashes())
+            count.append(np.diff(w.first))
+            start.append(w.start + offsets[i])
+        self.vocab, self.word = np.unique(np.concatenate(found), return_inverse=True)
+        count, start = np.concatenate(count), np.concatenate(start)
         self.maybe = np.zeros(1 << 22, bool)
-        self.maybe[(self.runs & np.uint64((1 << 22) - 1)).astype(np.int64)] = True
-        self.size = np.array([len(t) for t in self.texts], np.int64)
+        self.maybe[(self.vocab & np.uint64((1 << 22) - 1)).astype(np.int64)] = True
+        self.size = np.diff(offsets)
         self.limit = np.floor(self.size * self.rate).astype(np.int64)
-        ends = np.cumsum(self.size)
-        data = np.frombuffer(b"".join(self.texts), np.uint8)
-        self.sampled = np.zeros((WALKS, len(self.texts), REPEATS * SAMPLED), np.uint8)
-        for w in range(WALKS):
-            for k in range(0, len(self.texts), 4096):
-                some = slice(k, k + 4096)
-                out = embed(data, (ends - self.size)[some], ends[some], int(3 * self.size[some].max()), w)
-                self.sampled[w, some] = out[self.positions(w, np.arange(len(self.texts))[some]), np.arange(out.shape[1])[:, None]]
-
-    def positions(self, walk: int, item: np.ndarray) -> np.ndarray:
-        return (_SAMPLES[walk][None] * (3 * self.size[item])[:, None]).astype(np.int64)
-
-    def similar(self, data: np.ndarray, start: np.ndarray, item: np.ndarray) -> np.ndarray:
-        """Which windows of data agree with their item in a whole sample."""
-        ok = np.zeros(len(start), bool)
-        for k in range(0, len(start), 2048):
-            some = slice(k, k + 2048)
-            i, s = item[some], start[some]
+        # Segments, of which the last takes what is less than half of one.
+        parts = np.maximum(1, (count + SEGMENT // 2) // SEGMENT)
+        self.item = np.repeat(np.arange(len(count)), parts)
+        nth = _runs(parts)
+        first = np.repeat(np.cumsum(count) - count, parts) + nth * SEGMENT
+        last = np.where(nth + 1 < parts[self.item], first + SEGMENT, np.repeat(np.cumsum(count), parts))
+        self.segment, self.place = np.repeat(np.arange(len(first)), last - first), _runs(last - first)
+        self.word_before = first - np.repeat(np.cumsum(count) - count, parts)
+        self.byte_before = start[first] - offsets[self.item]
+        self.offset = start - np.repeat(start[first], last - first)
+        end = np.where(last < len(start), start[np.minimum(last, len(start) - 1)] - 1, offsets[self.item + 1])
+        end = np.where(nth + 1 < parts[self.item], end, offsets[self.item + 1])
+        self.length, self.words = end - start[first], count
+        self.sampled = self._samples(data, start[first], np.arange(len(first)))
+
+    def anchor(self, counts: np.ndarray, total: int) -> Items:
+        """Chooses the anchors by the words' counts in `total` words of text."""
+        share, n, rows = counts / max(total, 1), len(self.word), []
+        short = self.words[self.item[self.segment]] < SHORT
+        for g in range(GAPS + 1):
+            i = np.arange(n - g)
+            i = i[short] if g == 0 else i[(self.segment[i] == self.segment[i + g]) & ~short[i]]
+            a, b = self.word[i], self.word[i + g]
+            rows.append((self.segment[i], (a * len(self.vocab) + b) * (GAPS + 1) + g, self.place[i], self.offset[i], share[a] * share[b] if g else share[a]))
+        segment, key, place, offset, chance = (np.concatenate(c) for c in zip(*rows, strict=True))
+        here = chance > 0  # a word that no text has anchors nothing
+        segment, key, place, offset, chance = segment[here], key[here], place[here], offset[here], chance[here]
+        order = np.lexsort((chance, segment))
+        rank = np.empty(len(order), np.int64)
+        rank[order] = _runs(np.bincount(segment, minlength=len(self.item)))
+        item = self.item[segment]
+        keep = np.where(self.words[item] < SHORT, rank <= 2 * self.limit[item], (chance <= SELDOM) | (rank < LEAST))
+        order = np.flatnonzero(keep)[np.argsort(key[keep], kind="stable")]
+        self.key, self.at, self.at_place, self.at_offset = key[order], segment[order], place[order], offset[order]
+        return self
+
+    def numbers(self, hashes: np.ndarray) -> np.ndarray:
+        """Each word's number among the items' words, or -1."""
+        out = np.full(len(hashes), -1, np.int64)
+        i = np.flatnonzero(self.maybe[(hashes & np.uint64((1 << 22) - 1)).astype(np.int64)])
+        at = np.minimum(np.searchsorted(self.vocab, hashes[i]), len(self.vocab) - 1)
+        same = self.vocab[at] == hashes[i]
+        out[i[same]] = at[same]
+        return out
+
+    def _samples(self, data: np.ndarray, start: np.ndarray, segment: np.ndarray) -> np.ndarray:
+        """The sampled symbols of the embeddings of windows of data, each of its segment's size."""
+        out = np.zeros((WALKS, len(start), REPEATS * SAMPLED), np.uint8)
+        order, k = np.argsort(-self.length[segment], kind="stable"), 0
+        while k < len(order):
+            steps = int(3 * self.length[segment[order[k]]])
+            some = order[k : k + max(1, HELD // max(steps, 1))]
+            k += len(some)
+            size = self.length[segment[some]]
             for w in range(WALKS):
-                out = embed(data, s, np.minimum(s + self.size[i], len(data)), int(3 * self.size[i].max()), w)
-                same = out[self.positions(w, i), np.arange(len(i))[:, None]] == self.sampled[w, i]
-                ok[some] |= same.reshape(len(i), REPEATS, SAMPLED).all(axis=2).any(axis=1)
+                symbols = embed(data, start[some], np.minimum(start[some] + size, len(data)), steps, w)
+                out[w, some] = symbols[(_SAMPLES[w][None] * (3 * size)[:, None]).astype(np.int64), np.arange(len(some))[:, None]]
+        return out
+
+    def similar(self, data: np.ndarray, start: np.ndarray, segment: np.ndarray) -> np.ndarray:
+        """Which windows of data agree with their segment in a whole sample."""
+        ok = np.zeros(len(start), bool)
+        for k in range(0, len(start), 16384):
+            some = slice(k, k + 16384)
+            same = self._samples(data, start[some], segment[some]) == self.sampled[:, segment[some]]
+            ok[some] = same.reshape(WALKS, -1, REPEATS, SAMPLED).all(axis=3).any(axis=(0, 2))
         return ok
 
+    def _met(self, words: Words, begin: np.ndarray) -> np.ndarray:
+        """Distinct (text, segment, word at which its window begins); begin: where words begin in the normal text."""
+        if not len(self.key):
+            return np.zeros((0, 3), np.int64)
+        number = self.numbers(words.hashes())
+        text = np.repeat(np.arange(len(words.first) - 1), np.diff(words.first))
+        met = []
+        for g in range(GAPS + 1):
+            i = np.flatnonzero((number[: len(number) - g] >= 0) & (number[g:] >= 0) & (text[: len(text) - g] == text[g:]))
+            key = (number[i] * len(self.vocab) + number[i + g]) * (GAPS + 1) + g
+            low = np.searchsorted(self.key, key, "left")
+            hit = np.flatnonzero(self.key[np.minimum(low, len(self.key) - 1)] == key)
+            i, low = i[hit], low[hit]
+            n = np.searchsorted(self.key, key[hit], "right") - low
+            entry, i = np.repeat(low, n) + _runs(n), np.repeat(i, n)
+            first = words.first[text[i]]
+            by_words = np.maximum(i - self.at_place[entry], first)
+            byte = begin[i] - self.at_offset[entry]
+            right = np.clip(np.searchsorted(begin, byte), first, i)
+            left = np.maximum(right - 1, first)
+            by_bytes = np.where(byte - begin[left] < begin[right] - byte, left, right)
+            met += [np.column_stack([text[i], self.at[entry], f]) for f in (by_words, by_bytes)]
+        return np.unique(np.concatenate(met), axis=0)
+
     def hits(self, column: pa.Array):
         """(row, item, distance, first word) of the texts, once per row and item."""
         data, offsets = buffers(column)
         for i, j in slices(offsets):
             words = Words(data, offsets[i : j + 1])
-            runs, begin = shingles(words, ANCHOR)
-            at = np.flatnonzero(self.maybe[(runs & np.uint64((1 << 22) - 1)).astype(np.int64)])
-            low, high = np.searchsorted(self.runs, runs[at], "left"), np.searchsorted(self.runs, runs[at], "right")
-            at, low, n = at[high > low], low[high > low], (high - low)[high > low]
-            if not len(at):
+            size = words.end - words.start
+            begin = np.cumsum(size + 1) - size - 1
+            met = self._met(words, begin) if len(size) else np.zeros((0, 3), np.int64)
+            if not len(met):
                 continue
-            entry = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            at = np.repeat(at, n)
-            row = np.searchsorted(begin, at, "right") - 1
-            first = np.maximum(at - begin[row] - self.place[entry], 0)
-            trio = np.unique(np.column_stack([row, self.item[entry], first]), axis=0)
             # The texts in question, made normal and put in a row.
-            rows = np.unique(trio[:, 0])
-            texts, starts, base = {}, {}, {}
-            total = 0
-            for r in rows:
-                a, b = words.first[r], words.first[r + 1]
-                size = words.end[a:b] - words.start[a:b]
-                texts[r] = b" ".join(words.data[words.offsets[r] : words.offsets[r + 1]].tobytes().split())
-                starts[r], base[r] = np.cumsum(size + 1) - size - 1, total
-                total += len(texts[r])
-            flat = np.frombuffer(b"".join(texts.values()), np.uint8)
-            place = np.array([base[r] + starts[r][f] for r, _, f in trio], np.int64)
-            trio = trio[self.similar(flat, place, trio[:, 1])]
+            rows = np.unique(met[:, 0])
+            texts = {r: b" ".join(words.data[words.offsets[r] : words.offsets[r + 1]].tobytes().split()) for r in rows.tolist()}
+            base = np.zeros(len(words.first), np.int64)
+            lengths = [len(texts[r]) for r in rows.tolist()]
+            base[rows] = np.cumsum(lengths) - lengths
+            place = begin[met[:, 2]] - begin[words.first[met[:, 0]]]
+            near = self.similar(np.frombuffer(b"".join(texts.values()), np.uint8), base[met[:, 0]] + place, met[:, 1])
             best: dict[tuple[int, int], tuple[int, int]] = {}
-            for r, k, f in trio.tolist():
-                if best.get((r, k), (1, 0))[0] == 0:
+            tried, own = set(), {}
+            for (r, m, f), p in zip(met[near].tolist(), place[near].tolist(), strict=True):
+                k, s, f = int(self.item[m]), p - int(self.byte_before[m]), max(0, f - int(words.first[r]) - int(self.word_before[m]))
+                if best.get((r, k), (1, 0))[0] == 0 or (r, k, s // 16) in tried:
                     continue
-                limit, s = int(self.limit[k]), int(starts[r][f])
+                tried.add((r, k, s // 16))
+                limit = int(self.limit[k])
                 margin = limit + 32
-                d = distance(self.texts[k], texts[r][max(0, s - margin) : s + int(self.size[k]) + margin], limit)
+                part = texts[r][max(0, s - margin) : s + int(self.size[k]) + margin]
+                if k not in own:
+                    own[k] = grams(self.texts[k])
+                if len(own[k] - grams(part)) > GRAM * limit:
+                    continue
+                d = distance(self.texts[k], part, limit)
                 if d <= limit and (d, f) < best.get((r, k), (limit + 1, 0)):
                     best[r, k] = d, f
             for (r, k), (d, f) in sorted(best.items()):
                 yield i + r, k, d, f
 
 
-def _blocks(spark: SparkSession, benchmark: DataFrame, rate: float):
+def _counted(items: Items, docs: DataFrame) -> Items:
+    """The items with anchors by the counts of their words in all documents."""
+    shared, cells = docs.sparkSession.sparkContext.broadcast(items), -(-(len(items.vocab) + 1) // PARTS) * PARTS
+
+    def run(batches):
+        table, some = np.zeros(cells, np.int64), False
+        for b in batches:
+            data, offsets = buffers(b.column("text"))
+            for i, j in slices(offsets):
+                number = shared.value.numbers(Words(data, offsets[i : j + 1]).hashes())
+                table[:-1] += np.bincount(number[number >= 0], minlength=cells - 1)
+                table[-1] += len(number)
+                some = True
+        if some:
+            yield table_parts(table)
+
+    table = merge_tables(docs.select("text").mapInArrow(run, "part int, cells binary"), np.int64)
+    shared.unpersist()
+    return items.anchor(table[: len(items.vocab)], int(table[-1])) if len(table) else items.anchor(np.zeros(len(items.vocab)), 0)
+
+
+def _blocks(spark: SparkSession, documents: DataFrame, benchmark: DataFrame, rate: float):
     """The items in blocks of a bounded size."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-size // BLOCK_BYTES))
     for k in range(n):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).orderBy("item_id", "text").collect() if n > 1 else items.orderBy("item_id", "text").collect()
-        kept = [(r["item_id"], t) for r in rows if len((t := normal(r["text"])).split()) >= ANCHOR]
+        kept = [(r["item_id"], t) for r in rows if (t := normal(r["text"]))]
         if kept:
-            yield Items([i for i, _ in kept], [t for _, t in kept], rate)
+            yield _counted(Items([i for i, _ in kept], [t for _, t in kept], rate), documents)
 
 
 def find(spark: SparkSession, documents: DataFrame, benchmark: DataFrame, rate: float = 0.1) -> DataFrame:
@@ -197,7 +299,7 @@ def find(spark: SparkSession, documents: DataFrame, benchmark: DataFrame, rate:
     scratch.bound_batches(spark)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = None
-    for items in _blocks(spark, benchmark, rate):
+    for items in _blocks(spark, docs, benchmark, rate):
         shared = spark.sparkContext.broadcast(items)
 
         def run(batches, shared=shared):
@@ -215,7 +317,7 @@ def find(spark: SparkSession, documents: DataFrame, benchmark: DataFrame, rate:
 def clean(spark: SparkSession, documents: DataFrame, benchmark: DataFrame, rate: float = 0.1) -> DataFrame:
     """documents without those that hold an item, with all columns."""
     scratch.bound_batches(spark)
-    for items in _blocks(spark, benchmark, rate):
+    for items in _blocks(spark, documents, benchmark, rate):
         shared = spark.sparkContext.broadcast(items)
         named = documents.select(F.struct("*").alias("doc"), F.col("text").alias("text"))
 
