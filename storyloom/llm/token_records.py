@@ -8,16 +8,22 @@ File format. A shard is a run of frames, each followed by one newline byte (what
              fits, else 4; little-endian
     check    4 bytes: masked CRC-32 of the body
 
-A mask (rotate right by 15, add a constant) keeps checksums of data that hold checksums apart. Shards are named in order,
-documents lie in them in ascending doc_id order (null first; equal ids by length, then by ids), so shards can be read one after
-another, and the index (shard, offset, bytes, doc_id, start, n_tokens, ids_crc32) gives each record for itself.
+A mask (rotate right by 15, add a constant) keeps checksums of data that hold checksums apart. write() puts the shards under
+<path>/records and the index as Parquet under <path>/index: shard (file name), offset, bytes, doc_id, start, n_tokens,
+ids_crc32. A reader that knows the index opens any record by itself, in any order. Shards are numbered by their part and,
+within a part, their file; in this order documents lie in ascending doc_id order (null first; equal ids by a hash of the text).
+
+Texts go to ranges of (doc_id, hash of the text, a salt), whose bounds Spark samples, and are encoded there; so a doc_id that
+a third of all rows repeat takes many ranges, and no list of cuts is held by the plan. A shard has at most as many records
+as make `shard_mb` at the mean size, a task writes as many as it takes.
 
 Spark's own writer puts the frames, so that a shared store of any kind works and lost tasks are written anew; files are read back
-with the binaryFile source. Frames pass through a string column only as bytes. Shards hold a few tens of MB, as set by
-`shard_mb`, so one fits in memory.
+with the binaryFile source. Frames pass through a string column only as bytes. The index is made by reading all shards back
+and checking every record.
 
 Defined results: a null or empty text has only the end id. Repeated rows give repeated records. An empty table gives no
-records. Only doc_id and text are read, whatever else there is."""
+records. Only doc_id and text are read, whatever else there is. A shard that comes to over 2 GB (records far beyond the mean
+size in a row) can't be read back by this source and raises an error."""
 
 from __future__ import annotations
 
@@ -28,7 +34,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from storyloom.llm import scratch
@@ -178,51 +184,42 @@ def _encoder(path: str, per_word: bool) -> WordEncoder:
 
 
 def _encode(path: str, end_id: int, per_word: bool, wide: bool, chunk: int = 1000):
-    """doc_id, text -> doc_id, n, crc, framed record; rows keep their order."""
+    """doc_id, text -> framed record; rows keep their order."""
 
     def run(batches):
         encoder = _encoder(path, per_word)
         for batch in batches:
             for i in range(0, len(batch), chunk):
-                part = batch.slice(i, chunk)
-                ids = part.column("doc_id").to_pylist()
-                n, crc, record = [], [], []
-                for doc, found in zip(ids, encoder.encode(part.column("text")), strict=True):
-                    found = np.append(found, np.uint32(end_id)).astype("<u4")
-                    n.append(len(found))
-                    crc.append(zlib.crc32(found.tobytes()))
-                    record.append(frame(struct.pack("<q", NULL_ID if doc is None else doc) + (found if wide else found.astype("<u2")).tobytes()))
-                yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(crc, pa.int64()), pa.array(record, pa.binary())], names=["doc_id", "n", "crc", "record"])
+                part, record = batch.slice(i, chunk), []
+                for doc, found in zip(part.column("doc_id").to_pylist(), encoder.encode(part.column("text")), strict=True):
+                    found = np.append(found, np.uint32(end_id)).astype("<u4" if wide else "<u2")
+                    record.append(frame(struct.pack("<q", NULL_ID if doc is None else doc) + found.tobytes()))
+                yield pa.record_batch([pa.array(record, pa.binary())], names=["record"])
                 pa.default_memory_pool().release_unused()
 
     return run
 
 
 def write(spark: SparkSession, documents: DataFrame, tokenizer: str, end_id: int, path: str, per_word: bool = True, shard_mb: float = 16) -> None:
-    """Writes the shards of documents (doc_id, text) under path. Texts are encoded where they lie; the records, which are
-    smaller, go to ranges of doc_id, one shard each."""
+    """Writes the shards of documents (doc_id, text) and their index under path."""
     scratch.bound_batches(spark)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    wide = _tokenizer(tokenizer).get_vocab_size(with_added_tokens=True) > 65_536
+    wide = _is_wide(tokenizer)
     seen = docs.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("b")).first()
     # About 3.5 bytes of text a token here; a guess that is off makes shards larger or smaller, no less right.
     shards = max(1, min(seen["n"], round((seen["b"] or 0) / 3.5 * (4 if wide else 2) / (shard_mb * 1e6) + 0.5)))
-    cuts = docs.agg(F.percentile_approx("doc_id", [k / shards for k in range(1, shards)], F.lit(max(10_000, 20 * shards))).alias("q")).first()["q"] if shards > 1 else []
-    cuts = sorted(set(cuts or []))
-    shard = F.coalesce(F.array_size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < F.col("doc_id"))) if cuts else F.lit(0), F.lit(0))
-    if len(cuts) > 64:  # a search tree of literals rather than a walk over all
-        shard = _search(cuts, 0, len(cuts))
-    made = docs.mapInArrow(_encode(tokenizer, end_id, per_word, wide), "doc_id long, n long, crc long, record binary")
-    placed = made.repartitionById(len(cuts) + 1, shard.cast("int")).sortWithinPartitions("doc_id", "n", "record")
-    placed.select(F.col("record").cast("string").alias("value")).write.option("compression", "none").text(path)
+    order = ["doc_id", "_hash", "_salt"]
+    keyed = docs.withColumns({"_hash": F.xxhash64("text"), "_salt": F.pmod(F.monotonically_increasing_id(), F.lit(1 << 20))})
+    placed = keyed.repartitionByRange(shards, *order).sortWithinPartitions(*order).select("doc_id", "text")
+    made = placed.mapInArrow(_encode(tokenizer, end_id, per_word, wide), "record binary")
+    made.select(F.col("record").cast("string").alias("value")).write.options(compression="none", maxRecordsPerFile=max(1, 2 * seen["n"] // shards)).text(f"{path}/records")
+    scratch.release(spark)
+    _make_index(spark, path, wide)
 
 
-def _search(cuts: list[int], low: int, high: int):
-    """How many of cuts[low:high] are less than doc_id, plus low; null counts as least."""
-    if low == high:
-        return F.lit(low)
-    mid = (low + high) // 2
-    return F.when(F.col("doc_id") > cuts[mid], _search(cuts, mid + 1, high)).otherwise(_search(cuts, low, mid))
+@lru_cache(2)
+def _is_wide(path: str) -> bool:
+    return _tokenizer(path).get_vocab_size(with_added_tokens=True) > 65_536
 
 
 def _parse(wide: bool):
@@ -242,21 +239,25 @@ def _parse(wide: bool):
     return run
 
 
-def index(spark: SparkSession, path: str, wide: bool = False) -> DataFrame:
-    """The index, made by reading all shards back and checking every record: shard, offset, bytes, doc_id, start (ids of
-    all records before), n_tokens, ids_crc32. Only the shards' totals, one row for tens of MB, meet in one window."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
-    rows = scratch.save(spark, files.mapInArrow(_parse(wide), "shard string, offset long, bytes long, doc_id long, n_tokens long, ids_crc32 long, before long"), "token-index")
-    totals = rows.groupBy("shard").agg(F.sum("n_tokens").alias("total"))
-    from pyspark.sql import Window
+def _make_index(spark: SparkSession, path: str, wide: bool) -> None:
+    """Only the shards' totals, one row for tens of MB, meet in one window."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{path}/records").select(F.regexp_extract("path", "[^/]+$", 0).alias("path"), "content")
+    with scratch.scope(spark):
+        rows = scratch.save(spark, files.mapInArrow(_parse(wide), "shard string, offset long, bytes long, doc_id long, n_tokens long, ids_crc32 long, before long"), "token-index")
+        number = [F.regexp_extract("shard", pattern, 1).cast("long") for pattern in (r"^part-([0-9]+)", r"-c([0-9]+)\.[^.]*$")]
+        before = Window.orderBy(*number, "shard").rowsBetween(Window.unboundedPreceding, 0)
+        begin = rows.groupBy("shard").agg(F.sum("n_tokens").alias("total")).select("shard", (F.sum("total").over(before) - F.col("total")).alias("begin"))
+        rows.join(begin, "shard").select("shard", "offset", "bytes", "doc_id", (F.col("begin") + F.col("before")).alias("start"), "n_tokens", "ids_crc32").write.parquet(f"{path}/index")
+
 
-    begin = totals.select("shard", (F.sum("total").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)) - F.col("total")).alias("begin"))
-    return rows.join(begin, "shard").select("shard", "offset", "bytes", "doc_id", (F.col("begin") + F.col("before")).alias("start"), "n_tokens", "ids_crc32")
+def index(spark: SparkSession, path: str) -> DataFrame:
+    """The stored index: shard, offset, bytes, doc_id, start (ids of all records before), n_tokens, ids_crc32."""
+    return spark.read.schema("shard string, offset long, bytes long, doc_id long, start long, n_tokens long, ids_crc32 long").parquet(f"{path}/index")
 
 
-def read_record(spark: SparkSession, shard: str, offset: int, size: int, wide: bool = False) -> tuple[int | None, np.ndarray]:
+def read_record(spark: SparkSession, path: str, shard: str, offset: int, size: int, wide: bool = False) -> tuple[int | None, np.ndarray]:
     """One record by its index entry, as a shuffled reader takes it: (doc_id, ids). Reads these bytes only."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(shard)
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/records/{shard}")
     stream = p.getFileSystem(spark._jsc.hadoopConfiguration()).open(p)
     try:
         stream.seek(offset)
