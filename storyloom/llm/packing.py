@@ -7,7 +7,10 @@ the gap, best fit first, and where none fits, the first part of one does and the
 full: its length is a power of two and it has no padding. What is left at a task's end, less than one window, is cut into
 powers of two as well.
 
-Windows of a tier are numbered into step groups of the same number of tokens, whatever the tier, so that all steps cost alike.
+A step group is what one training step reads: sequences of one length that come to STEP_TOKENS tokens, whatever the length, so
+that all steps cost alike. Groups are closed across tasks: the pieces, which are small rows, are written, the sequences of each
+length are numbered over all tasks by prefix sums of the tasks' counts, and cut into groups. Only the last group of a length
+may hold fewer tokens.
 
 Sequence ids are unique: the task's partition number, then a count within it. A task that is run again gives the same.
 
@@ -24,7 +27,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from storyloom.llm import scratch
@@ -36,7 +39,7 @@ POOL = 512
 STEP_TOKENS = 8192
 #: How byte-level BPE of this kind cuts texts before merging; fixed by the vocabulary.
 BYTE_LEVEL_PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, tier int, step_group long"
+SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, tier int, nth long"
 
 
 class ByteEncoder:
@@ -84,7 +87,8 @@ class ByteEncoder:
 
 
 @lru_cache(1)
-def _encoder(path: str) -> ByteEncoder:
+def encoder_of(path: str) -> ByteEncoder:
+    """One a worker."""
     return ByteEncoder(path)
 
 
@@ -103,12 +107,11 @@ class Packer:
         self.number += 1
 
     def _emit(self, window: list[tuple], tier: int) -> None:
-        """A sequence of these pieces. Its number, and that of its step group, count on."""
-        offset, steps = 0, max(1, STEP_TOKENS // tier)
-        nth = self.by_tier[tier] = self.by_tier.get(tier, 0) + 1
-        group = self.base | (tier.bit_length() << 26) | (nth - 1) // steps
+        """A sequence of these pieces, with its number and that among the task's sequences of its length."""
+        offset, nth = 0, self.by_tier.get(tier, 0)
+        self.by_tier[tier] = nth + 1
         for doc, ids, start, end in window:
-            self.out.append((doc, start, end - start, zlib.crc32(ids[start:end].astype("<u4").tobytes()), len(ids), self.base | self.made, offset, tier, group))
+            self.out.append((doc, start, end - start, zlib.crc32(ids[start:end].astype("<u4").tobytes()), len(ids), self.base | self.made, offset, tier, nth))
             offset += end - start
         self.made += 1
 
@@ -170,12 +173,13 @@ class Packer:
 
 
 def pack(spark: SparkSession, documents: DataFrame, tokenizer: str, end_id: int = 0, tiers: tuple[int, ...] = TIERS) -> DataFrame:
-    """The pieces of all documents (doc_id, text): see SCHEMA. start and length are in the document, offset in the sequence."""
+    """The pieces of all documents (doc_id, text): as SCHEMA, but step_group in place of nth. start and length are in the document, offset in
+    the sequence."""
     scratch.bound_batches(spark)
 
     def run(batches):
         context = TaskContext.get()
-        packer, encoder = Packer(context.partitionId() if context else 0, tiers), _encoder(tokenizer)
+        packer, encoder = Packer(context.partitionId() if context else 0, tiers), encoder_of(tokenizer)
         for batch in batches:
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
                 packer.add(doc, np.append(encoder.encode(text.as_py()), np.uint32(end_id)))
@@ -184,4 +188,12 @@ def pack(spark: SparkSession, documents: DataFrame, tokenizer: str, end_id: int
         packer.finish()
         yield packer.rows()
 
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SCHEMA)
+    pieces = scratch.save(spark, documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SCHEMA), "pieces")
+    pieces = pieces.withColumn("task", F.shiftright("sequence_id", 32))
+    counts = pieces.groupBy("task", "tier").agg((F.max("nth") + 1).alias("n"))
+    before = Window.partitionBy("tier").orderBy("task").rowsBetween(Window.unboundedPreceding, 0)
+    begin = scratch.save(spark, counts.select("task", "tier", (F.sum("n").over(before) - F.col("n")).alias("begin")), "sequence-counts")
+    group = F.floor((F.col("begin") + F.col("nth")) / F.greatest(F.lit(1), F.floor(STEP_TOKENS / F.col("tier"))))
+    # Groups of one length have ids in a row; the length's logarithm stands above them.
+    pieces = pieces.join(begin, ["task", "tier"]).withColumn("step_group", (F.shiftleft(F.log2("tier").cast("long"), 48) + group).cast("long"))
+    return pieces.select(*(x.split()[0] for x in SCHEMA.split(", ")[:-1]), "step_group")
