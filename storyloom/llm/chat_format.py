@@ -1,9 +1,10 @@
 """Chat formatting by budgeted windows.
 
-Turns of a conversation get prefix sums of their tokens. A window is a span of whole turns within the budget: the system
-turn first if there is one, then a limited history of turns that earlier windows have shown, then new turns, as many as
-fit. Only what is new in a window is a target: assistant text in the history is under no loss. A turn that alone exceeds
-the budget has a window of its own, whole.
+Turns of a conversation get prefix sums of their tokens, counted by a tokenizer's file on the turn as written. A window is a
+span of whole turns within the budget: the system turn first if the conversation begins with one, then a limited history of
+turns that earlier windows have shown, then new turns, as many as fit. Only what is new in a window is a target: assistant
+text in the history is under no loss. Turns are never cut: one that alone exceeds the budget has a window of its own, whole.
+The system turn is left out of a window where it doesn't fit beside the first new turn; there only, and in the others it stays.
 
 Template. A turn is written as
 
@@ -23,7 +24,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -31,11 +32,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storyloom.llm import scratch
+from storyloom.llm.packing import encoder_of
 
 OPEN, CLOSE = "### ", " </turn>\n"
 _CONTROL = re.compile(r"\\|###|</turn>")
 _ESCAPED = re.compile(r"\\(\\|###|</turn>)")
-_TOKEN = re.compile(r"\w+|[^\w\s]")
 WINDOW_SCHEMA = "conv_id long, window long, text string, loss array<struct<start:int,end:int>>, n_tokens long, n_repeated long"
 
 
@@ -93,10 +94,12 @@ def _close_at(window: str, at: int) -> int:
 class Windows:
     """The windows of one conversation, turn by turn. Each is (text, loss spans, tokens, turns shown again)."""
 
+    count: Callable[[str], int]
     budget: int = 2048
     history_budget: int = 512
     made: int = 0
     system: tuple | None = None
+    shown: bool = False  # whether the open window has the system turn
     history: deque = field(default_factory=deque)
     new: list = field(default_factory=list)
     sums: list = field(default_factory=lambda: [0])  # prefix sums of the tokens of history and new turns
@@ -104,29 +107,32 @@ class Windows:
     def add(self, role: str, text: str):
         """Yields the open window if this turn doesn't fit into it."""
         written, begin = render(role, text)
-        turn = (role, written, begin, len(_TOKEN.findall(written)))
-        taken = self.system[3] if self.system else 0
-        if self.new and taken + self.sums[-1] + turn[3] > self.budget:
+        turn = (role, written, begin, self.count(written))
+        if self.new and self._taken() + self.sums[-1] + turn[3] > self.budget:
             yield self._close()
-            taken = self.system[3] if self.system else 0
-        while self.history and not self.new and taken + self.sums[-1] + turn[3] > self.budget:
+        if not self.new:
+            self.shown = self.system is not None and self.system[3] + turn[3] <= self.budget
+        while self.history and not self.new and self._taken() + self.sums[-1] + turn[3] > self.budget:
             # The history gives way, oldest first, to the turn that opens the window.
             n = self.history.popleft()[3]
             self.sums = [x - n for x in self.sums[1:]]
         self.new.append(turn)
         self.sums.append(self.sums[-1] + turn[3])
 
+    def _taken(self) -> int:
+        return self.system[3] if self.shown else 0
+
     def _close(self):
-        shown = [*([self.system] if self.system else []), *self.history]
+        shown = [*([self.system] if self.shown else []), *self.history]
         text, loss, at = [], [], 0
         for k, (role, written, begin, _) in enumerate([*shown, *self.new]):
             if role == "assistant" and k >= len(shown):
                 loss.append((at + begin, at + len(written) - len(CLOSE)))
             text.append(written)
             at += len(written)
-        n = (self.system[3] if self.system else 0) + self.sums[-1]
+        n = self._taken() + self.sums[-1]
         turns = [*self.history, *self.new]
-        if not self.made and turns[0][0] == "system" and 2 * turns[0][3] <= self.budget:
+        if not self.made and turns[0][0] == "system":
             self.system = turns.pop(0)
         # The last turns, as many as their sums allow, are what the next window repeats.
         self.history, room = deque(), self.history_budget
@@ -150,14 +156,14 @@ def _turns(batches) -> Iterator[tuple]:
         yield from zip(b.column("conv_id").to_pylist(), b.column("role").to_pylist(), b.column("text").to_pylist(), strict=True)
 
 
-def _by_conversation(batches, budget: int, history_budget: int) -> Iterator[tuple]:
+def _by_conversation(batches, count: Callable[[str], int], budget: int, history_budget: int) -> Iterator[tuple]:
     """(conv_id, window number, text, loss, tokens, repeated turns) of sorted turns."""
     windows, conv, first = None, None, True
     for c, role, text in _turns(batches):
         if first or c != conv:
             if windows:
                 yield from ((conv, windows.made - 1, *w) for w in windows.finish())
-            windows, conv, first = Windows(budget, history_budget), c, False
+            windows, conv, first = Windows(count, budget, history_budget), c, False
         yield from ((conv, windows.made - 1, *w) for w in windows.add(role or "", text or ""))
     if windows:
         yield from ((conv, windows.made - 1, *w) for w in windows.finish())
@@ -168,7 +174,7 @@ def _sorted(conversations: DataFrame) -> DataFrame:
     return turns.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "role", "text")
 
 
-def format_windows(spark: SparkSession, conversations: DataFrame, budget: int = 2048, history_budget: int = 512) -> DataFrame:
+def format_windows(spark: SparkSession, conversations: DataFrame, tokenizer: str, budget: int = 2048, history_budget: int = 512) -> DataFrame:
     """One row a window: its text, the spans of it under loss, its tokens, and how many turns it shows again first."""
     scratch.bound_batches(spark)
 
@@ -176,7 +182,7 @@ def format_windows(spark: SparkSession, conversations: DataFrame, budget: int =
         held, size = [], 0
         kinds = [pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])), pa.int64(), pa.int64()]
         give = lambda: pa.record_batch([pa.array([[{"start": a, "end": b} for a, b in x[k]] if k == 3 else x[k] for x in held], kind) for k, kind in enumerate(kinds)], names=["conv_id", "window", "text", "loss", "n_tokens", "n_repeated"])
-        for w in _by_conversation(batches, budget, history_budget):
+        for w in _by_conversation(batches, lambda t: len(encoder_of(tokenizer).encode(t)), budget, history_budget):
             held.append(w)
             size += len(w[2])
             if size > 2_000_000:

@@ -22,7 +22,7 @@ def query(f: Callable[[SparkSession, str], DataFrame]):
 @query
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line of the documents that repeats another, exactly or nearly, and the one that stays."""
-    return line_dedup.find(spark, table(spark, sf_dir, "documents")).drop("h")
+    return line_dedup.find(spark, table(spark, sf_dir, "documents"))
 
 
 @query
@@ -67,7 +67,7 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = r"\### Assistant: </turn> ok"
     more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
-    windows = scratch.save(spark, chat_format.format_windows(spark, turns), "windows")
+    windows = scratch.save(spark, chat_format.format_windows(spark, turns, public_tokenizers.path("byte_bpe_50k.json")), "windows")
     return chat_format.read_back(spark, windows)
 
 
