@@ -165,7 +165,9 @@ def train(spark: SparkSession, documents: DataFrame, labels: DataFrame, rows: in
             yield pa.record_batch([b.column("quality"), pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), len(FEATURES)).cast(pa.list_(pa.float64()))], names=["quality", "x"])
 
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    got = docs.join(F.broadcast(sample), "doc_id").select("text", "quality").mapInArrow(run, "quality int, x array<double>").toArrow()
+    # Of rows that repeat a doc_id one counts, so that what reaches the driver is bounded by the sample.
+    known = docs.join(F.broadcast(sample), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("quality").alias("quality"))
+    got = known.select("text", "quality").mapInArrow(run, "quality int, x array<double>").toArrow()
     if not got.num_rows:
         return grow(np.zeros((0, len(FEATURES))), np.zeros(0))
     x, y = np.array(got.column("x").combine_chunks().flatten()).reshape(-1, len(FEATURES)), np.array(got.column("quality"), dtype=float)
