@@ -6,7 +6,7 @@
 3. Rows meet by shingle, sorted, in a stream. Pairs must pass the length filter, the positional filter and a suffix filter
    (counts by eighths of the hash space bound the sets' difference). A shingle of at most SMALL classes gives all pairs; a
    larger one gives each class with the class in which it comes first, which for near copies is the least changed one.
-4. Each pair is verified once on whole sets. Linked classes are united by contraction.
+4. Each pair is verified once on whole sets, made anew from the texts of the two classes. Linked classes are united by contraction.
 5. Classes that meet in a large shingle's bucket but are still in different groups are then paired exhaustively (outside
    the bucket's main group, against all of the bucket) and verified too: no link between groups is lost.
 
@@ -237,8 +237,9 @@ def _filter_of(ids: DataFrame) -> np.ndarray:
     return merge_tables(ids.mapInArrow(run, "part int, cells binary"), np.uint8, np.bitwise_or)
 
 
-def _sets_of(rule: Rule, wanted):
-    """(key, found) of the documents whose ids the filter may hold."""
+def _texts_of(rule: Rule, wanted):
+    """(key, text) of the documents whose ids the filter may hold; texts as lower-cased words with single spaces between,
+    which take far less room in a shuffle than the hashes of their shingles."""
 
     def run(batches):
         bits = wanted.value
@@ -246,12 +247,12 @@ def _sets_of(rule: Rule, wanted):
             ids = batch.column("doc_id").fill_null(-1).to_numpy()
             one, two = _filter_bits(ids)
             hit = np.flatnonzero((bits[one >> 3] >> (one & 7)) & (bits[two >> 3] >> (two & 7)) & 1)
-            key, found = [], []
-            for s in _sets(rule, batch.column("text").take(pa.array(hit))):
+            texts, key, plain = batch.column("text").take(pa.array(hit)), [], []
+            for text, s in zip(texts, _sets(rule, texts), strict=True):
                 if len(s):
                     key.append(_class_of(s)[0])
-                    found.append(s.tobytes())
-            yield pa.record_batch([pa.array(key, pa.int64()), pa.array(found, pa.binary())], names=["key", "found"])
+                    plain.append(b" ".join(text.as_buffer().to_pybytes().lower().split()))  # of bytes: A-Z and ASCII white space
+            yield pa.record_batch([pa.array(key, pa.int64()), pa.array(plain, pa.binary()).cast(pa.string())], names=["key", "found"])
 
     return run
 
@@ -259,10 +260,8 @@ def _sets_of(rule: Rule, wanted):
 def _verify(rule: Rule):
     def run(batches):
         for batch in batches:
-            x, y = batch.column("xs"), batch.column("ys")
             ok = []
-            for i in range(len(batch)):
-                s, t = (np.frombuffer(c[i].as_buffer(), np.uint64) for c in (x, y))
+            for s, t in zip(_sets(rule, batch.column("xs")), _sets(rule, batch.column("ys")), strict=True):
                 at = np.searchsorted(s, t)
                 at[at == len(s)] = 0
                 ok.append(int((s[at] == t).sum()) >= rule.overlap(len(s), len(t)))
@@ -288,7 +287,7 @@ def _checked(spark: SparkSession, docs: DataFrame, rule: Rule, classes: DataFram
     wanted = spark.sparkContext.broadcast(_filter_of(ids))
     if not len(wanted.value):
         return scratch.save(spark, pairs.select("a", "b").where("false"), "linked")
-    sets = scratch.save(spark, docs.mapInArrow(_sets_of(rule, wanted), "key long, found binary"), "sets")
+    sets = scratch.save(spark, docs.mapInArrow(_texts_of(rule, wanted), "key long, found string"), "texts")
     if not sets.groupBy("key").count().where("count > 1").isEmpty():  # rows that repeat a doc_id, or ids that the filter let through
         sets = sets.groupBy("key").agg(F.first("found").alias("found"))
     x, y = sets.select(F.col("key").alias("a"), F.col("found").alias("xs")), sets.select(F.col("key").alias("b"), F.col("found").alias("ys"))
@@ -334,6 +333,8 @@ def _groups(spark: SparkSession, documents: DataFrame, size: int, percent: int)
     prefixes = docs.mapInArrow(_prefixes(rule, spark.sparkContext.broadcast(counts)), "token long, key long, at long, eighths long")
     met = prefixes.repartition("token").sortWithinPartitions("token", "at", "key").mapInArrow(_meet(rule), "token long, a long, b long, na long, nb long")
     met = scratch.save(spark, met, "met")
+    del prefixes
+    scratch.release(spark)
     pairs = scratch.save(spark, met.where("token is null").select("a", "b").distinct(), "pairs")
     links = _linked(spark, docs, rule, classes, pairs)
     groups = connected_components(spark, links, "ngram")

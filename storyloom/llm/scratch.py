@@ -5,11 +5,12 @@ from __future__ import annotations
 
 import contextlib
 import contextvars
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Used only where the session names no folder, as in tests on one machine.
+#: Used only where the session names no folder and all of it runs on this machine, as in tests.
 OWN_FOLDER = "file:///tmp/checkpoints/storyloom"
 
 
@@ -37,7 +38,12 @@ def scope(spark: SparkSession):
 
 
 def root(spark: SparkSession) -> str:
-    return (spark.conf.get("spark.checkpoint.dir", None) or OWN_FOLDER).rstrip("/") + f"/{spark.sparkContext.applicationId}"
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = OWN_FOLDER
+    return folder.rstrip("/") + f"/{spark.sparkContext.applicationId}"
 
 
 def new_path(spark: SparkSession, name: str) -> str:
@@ -62,6 +68,13 @@ def drop(spark: SparkSession, *paths: str) -> None:
         fs.delete(p, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of frames that nothing refers to any more; else they stay until the driver
+    happens to collect its garbage. To be called after a large step whose result is written."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def save(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """The frame, written and read again."""
     path = new_path(spark, name)

@@ -5,6 +5,7 @@ costs a few array operations whatever its length. All arithmetic is modulo 2 **
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -123,8 +124,18 @@ def shingles(words: Words, size: int, seed: int = 0) -> tuple[np.ndarray, np.nda
 PARTS = 64
 
 
+def _packed(x: np.ndarray) -> bytes:
+    """The cells byte plane by byte plane, compressed: most cells are small numbers."""
+    return zlib.compress(np.ascontiguousarray(x.view(np.uint8).reshape(-1, x.itemsize).T).tobytes(), 1)
+
+
+def _unpacked(data: bytes, dtype) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(np.dtype(dtype).itemsize, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(dtype)
+
+
 def table_parts(values: np.ndarray) -> pa.RecordBatch:
-    return pa.record_batch({"part": pa.array(range(PARTS), pa.int32()), "cells": pa.array([x.tobytes() for x in np.split(values, PARTS)], pa.binary())})
+    return pa.record_batch({"part": pa.array(range(PARTS), pa.int32()), "cells": pa.array([_packed(x) for x in np.split(values, PARTS)], pa.binary())})
 
 
 def merge_tables(parts, dtype, how=np.add) -> np.ndarray:
@@ -134,11 +145,11 @@ def merge_tables(parts, dtype, how=np.add) -> np.ndarray:
         held: dict[int, np.ndarray] = {}
         for b in batches:
             for p, cells in zip(b.column("part").to_pylist(), b.column("cells"), strict=True):
-                x = np.frombuffer(cells.as_buffer(), dtype=dtype)
-                held[p] = how(held[p], x) if p in held else x.copy()
+                x = _unpacked(cells.as_py(), dtype)
+                held[p] = how(held[p], x) if p in held else x
         if held:
-            yield pa.record_batch({"part": pa.array(list(held), pa.int32()), "cells": pa.array([x.tobytes() for x in held.values()], pa.binary())})
+            yield pa.record_batch({"part": pa.array(list(held), pa.int32()), "cells": pa.array([_packed(x) for x in held.values()], pa.binary())})
 
     rows = parts.repartition(PARTS // 4, "part").mapInArrow(merge, "part int, cells binary").collect()
     cells = {r["part"]: bytes(r["cells"]) for r in rows}
-    return np.concatenate([np.frombuffer(cells[p], dtype=dtype) for p in range(PARTS)]) if cells else np.zeros(0, dtype)
+    return np.concatenate([_unpacked(cells[p], dtype) for p in range(PARTS)]) if cells else np.zeros(0, dtype)
