@@ -3,20 +3,24 @@
 Lines are compared without white space at their ends and in lower case; lines without other characters are left alone. Only
 built-in column functions are used.
 
-1. Each line gives 64-bit hashes of all its runs of SHINGLE bytes. In their order, which is the same for all lines, each
-   three in a row make a band, BANDS at most: lines whose least hashes agree in a row of three meet.
-2. Equal lines (128 bits) become one, before and after the shuffle, with their first place and count.
-3. Lines meet by band in an order drawn anew for each band; each is paired with the band's first and with the one before it.
+1. Equal lines become one, by their text, with their first place and count; it is numbered and written.
+2. Each gives 64-bit hashes of all its runs of SHINGLE bytes. In their order, which is the same for all lines, each three in
+   a row make a band, BANDS at most: lines whose least hashes agree in a row of three meet.
+3. Each line is first paired with one other: the first of a band, the one that it meets in most of its bands. As long as this
+   unites lines, and HUB_ROUNDS times at most, each group is then paired in the same way with each other group of which it
+   meets a first line; only lines in different groups are paired, once.
 4. Each pair is verified once: Jaccard of the sets of all shingles of VERIFY characters at least `similarity`.
 5. Contraction unites linked lines. Lines of one band that are still in different groups are then compared as well: all
    with all in bands of at most SMALL lines; lines of larger bands where they share one of the rare shingles that any
    similar pair must share (prefix, length and positional filters). No link within a band is lost.
-6. Of each group the first line by (doc_id, line number) stays.
+6. Of each group the first line by (doc_id, hash of the text, line number) stays.
 
-Defined results: null and empty texts have no lines to drop. A null doc_id comes before all others. Rows that repeat a
-doc_id and text keep and lose the same lines. Lines of one character count as any other. An empty table gives no rows.
-Only doc_id and text are read; drop_lines() keeps all columns of documents, whatever their names, and counts n_chars anew
-where a line goes. A text whose lines all go is empty, not gone."""
+No join has a hint: what is broadcast is for the session's threshold in bytes to say.
+
+Defined results: null and empty texts have no lines to drop. A null doc_id comes before all others. Rows that share a doc_id, or
+have none, are told apart by their texts; rows that repeat a doc_id and text keep and lose the same lines. Lines of one
+character count as any other. An empty table gives no rows. Only doc_id and text are read; drop_lines() keeps all columns
+of documents, whatever their names, and counts n_chars anew where a line goes. A text whose lines all go is empty, not gone."""
 
 from __future__ import annotations
 
@@ -30,13 +34,14 @@ SHINGLE, VERIFY, BANDS = 8, 5, 12
 WHITE = " \t\n\x0b\x0c\r"
 #: Stands for a null doc_id where one must be compared.
 NULL_ID = -(2**63)
+#: Hashes of texts, as far as they tell rows of one doc_id apart in a line's place.
+TEXT_SPAN = 1 << 26
 #: A band of at most so many lines gives all pairs that are in different groups.
 SMALL = 64
+#: Rounds of pairs with the first lines of bands, before all lines that share a band are compared.
+HUB_ROUNDS = 4
 #: Lines with one shingle that meet in one task.
 SALTED = 1000
-#: Rows that may be broadcast.
-BROADCAST_ROWS = 500_000
-
 
 def normal(line: Column) -> Column:
     """The line in lower case, without white space at its ends. Trimming spaces looks at the ends alone; trimming a set of characters walks
@@ -56,39 +61,43 @@ def runs(line: Column, size: int) -> Column:
 
 
 def shingles(line: Column, size: int) -> Column:
-    """The set of hashes of all shingles of so many characters; a shorter line is one."""
+    """Hashes of all shingles of so many characters, with repetitions; a shorter line is one."""
     some = F.when(F.length(line) <= size, F.array(line)).otherwise(F.regexp_extract_all(line, F.lit(f"(?s)(?=(.{{{size}}}))."), 1))
-    return F.array_distinct(F.when(F.octet_length(line) == F.length(line), runs(line, size)).otherwise(F.transform(some, lambda s: F.xxhash64(s))))
+    return F.when(F.octet_length(line) == F.length(line), runs(line, size)).otherwise(F.transform(some, lambda s: F.xxhash64(s)))
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """doc_id, line_no, line (normal, not empty), h."""
-    rows = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    rows = rows.select("doc_id", "line_no", normal(F.col("line")).alias("line")).where("line <> ''")
-    return rows.withColumn("h", F.xxhash64("line"))
-
-
-def _signed(lines: DataFrame) -> DataFrame:
-    """Lines with their bands in columns b0.. (null where there are fewer)."""
-    least = F.slice(F.sort_array(F.array_distinct(runs(F.col("line"), SHINGLE))), 1, BANDS + 2)
-    d = lines.select("doc_id", "line_no", "h", F.xxhash64("line", F.lit(7)).alias("g"), least.alias("_m"))
+    """doc_id (not null), text_hash, line_no, line (normal, not empty) and place: the three in one number, so that aggregates over it
+    stay in their hash map."""
+    rows = docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc_id"), F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    rows = rows.withColumn("line", normal(F.col("line"))).where("line <> ''")
+    low = F.shiftleft(F.col("text_hash").bitwiseAND(TEXT_SPAN - 1), 32) + F.col("line_no")
+    place = F.col("doc_id").cast("decimal(20,0)") * F.lit(TEXT_SPAN << 32).cast("decimal(18,0)") + low.cast("decimal(18,0)")
+    return rows.withColumn("place", place.cast("decimal(38,0)"))
+
+
+def _hashes() -> list[Column]:
+    """128 bits of a line."""
+    return [F.xxhash64("line").alias("h"), F.xxhash64("line", F.lit(7)).alias("g")]
+
+
+def _bands(firsts: DataFrame) -> DataFrame:
+    """(id, band) of each line."""
+    wide = 4 * (BANDS + 2)
+    d = firsts.select("id", F.sort_array(runs(F.col("line"), SHINGLE)).alias("_all")).withColumn("_m", F.array_distinct(F.slice("_all", 1, wide)))
+    # The least distinct hashes are among the first ones, unless these repeat each other.
+    whole = (F.size("_m") >= BANDS + 2) | (F.size("_all") <= wide)
+    d = d.withColumn("_m", F.slice(F.when(whole, F.col("_m")).otherwise(F.array_distinct("_all")), 1, BANDS + 2))
     m, size = F.col("_m"), F.size("_m")
     bands = F.transform(F.slice(m, 1, BANDS), lambda x, i: F.xxhash64(x, F.get(m, (i + 1) % size), F.get(m, (i + 2) % size)))
-    d = d.withColumn("_b", bands)
-    return d.select("doc_id", "line_no", "h", "g", *(F.get("_b", F.lit(k)).alias(f"b{k}") for k in range(BANDS)))
-
-
-def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """The frame, to be broadcast if it has at most so many rows; else it is joined by shuffle."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+    return d.select("id", F.explode(F.array_distinct(bands)).alias("band"))
 
 
 def _meetings(firsts: DataFrame) -> DataFrame:
-    """(h, band, hub, last) of the lines that share a band with others: with its first line and the one before."""
-    rows = firsts.select("h", F.explode(F.array_distinct(F.array(*(f"b{k}" for k in range(BANDS))))).alias("band")).where("band is not null")
-    w = Window.partitionBy("band").orderBy(F.xxhash64("h", "band"), "h")
-    met = rows.select("h", "band", F.first("h").over(w).alias("hub"), F.lag("h").over(w).alias("last"), F.lead("h").over(w).alias("next"))
-    return met.where("last is not null or next is not null").drop("next")
+    """(id, band, hub) of the lines that share a band with others; hub: the first of them."""
+    w = Window.partitionBy("band").orderBy("id")
+    met = _bands(firsts).select("id", "band", F.first("id").over(w).alias("hub"), F.lead("id").over(w).alias("next"))
+    return met.where("hub <> id or next is not null").drop("next")
 
 
 def _pair(a: str, b: str) -> list[Column]:
@@ -96,93 +105,116 @@ def _pair(a: str, b: str) -> list[Column]:
 
 
 def _candidates(met: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b) of lines that meet in a band."""
-    return met.where("last is not null").select("h", F.explode(F.array("hub", "last")).alias("o")).where("h <> o").select(*_pair("h", "o")).distinct()
+    """Pairs (a, b): each line and the hub that it meets in most bands."""
+    often = met.where("hub <> id").groupBy("id", "hub").agg(F.count("*").alias("c"))
+    return often.groupBy("id").agg(F.max_by("hub", F.struct("c", "hub")).alias("hub")).select(F.col("hub").alias("a"), F.col("id").alias("b"))
+
 
+def _more_candidates(met: DataFrame, groups: DataFrame, tried: DataFrame) -> DataFrame:
+    """Pairs (a, b) not tried yet: of each two groups whose lines and hubs meet, the two that do so in most bands."""
+    often = met.where("hub <> id").groupBy("id", "hub").agg(F.count("*").alias("c"))
+    often = often.join(tried.select(F.col("a").alias("hub"), F.col("b").alias("id")), ["id", "hub"], "left_anti")
+    roots = groups.select("id", F.col("root").alias("x"))
+    often = often.join(roots, "id", "left").join(roots.select(F.col("id").alias("hub"), F.col("x").alias("y")), "hub", "left")
+    often = often.withColumns({"x": F.coalesce("x", "id"), "y": F.coalesce("y", "hub")}).where("x <> y")
+    best = often.groupBy(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).agg(F.max_by(F.struct("hub", "id"), F.struct("c", "hub", "id")).alias("p"))
+    return best.select(F.col("p.hub").alias("a"), F.col("p.id").alias("b"))
 
-def _rest(spark: SparkSession, docs: DataFrame, firsts: DataFrame, met: DataFrame, groups: DataFrame, similarity: float) -> DataFrame:
+
+def _rest(spark: SparkSession, firsts: DataFrame, met: DataFrame, groups: DataFrame, similarity: float) -> DataFrame:
     """Distinct pairs (a, b) of lines that share a band and are in different groups, but for those that can't be similar."""
-    rows = met.select("h", "band").join(groups.withColumnRenamed("id", "h"), "h", "left").withColumn("root", F.coalesce("root", "h"))
-    # Both lines of a band of two were compared.
-    open_ = rows.groupBy("band").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).where("n > 2 and low <> high").select("band", "n")
+    rows = met.select("id", "band").join(groups, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    open_ = rows.groupBy("band").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("band", "n")
     rows = scratch.save(spark, rows.join(open_, "band"), "line-rest")
-    x, y = (rows.where(f"n <= {SMALL}").select("band", F.col("h").alias(f"h{s}"), F.col("root").alias(f"root{s}")) for s in "xy")
-    pairs = x.join(y, "band").where("hx < hy and rootx <> rooty").select(*_pair("hx", "hy"))
-    many = scratch.save(spark, rows.where(f"n > {SMALL}").select("h", "root").distinct(), "line-many")
+    x, y = (rows.where(f"n <= {SMALL}").select("band", F.col("id").alias(f"id{s}"), F.col("root").alias(f"root{s}")) for s in "xy")
+    pairs = x.join(y, "band").where("idx < idy and rootx <> rooty").select(*_pair("idx", "idy"))
+    many = scratch.save(spark, rows.where(f"n > {SMALL}").select("id", "root").distinct(), "line-many")
     if not many.isEmpty():
-        sets = _texts(spark, docs, firsts, many.select("h")).select("h", shingles(F.col("line"), VERIFY).alias("s"))
-        tokens = scratch.save(spark, sets.select("h", F.size("s").alias("n"), F.explode("s").alias("token")), "line-shingles")
+        # Written first, so that Catalyst doesn't make the sets of all lines below the join.
+        texts = scratch.save(spark, firsts.select("id", "line").join(many.select("id"), "id", "left_semi"), "line-many-texts")
+        sets = texts.select("id", F.array_distinct(shingles(F.col("line"), VERIFY)).alias("s"))
+        tokens = scratch.save(spark, sets.select("id", F.size("s").alias("n"), F.explode("s").alias("token")), "line-shingles")
         tokens = tokens.join(tokens.groupBy("token").agg(F.count("*").alias("c")), "token")
-        tokens = tokens.withColumn("at", F.row_number().over(Window.partitionBy("h").orderBy("c", "token")) - 1)
-        tokens = tokens.where(F.col("at") <= F.col("n") - F.ceil(similarity * F.col("n") - 1e-9)).join(many, "h")
+        tokens = tokens.withColumn("at", F.row_number().over(Window.partitionBy("id").orderBy("c", "token")) - 1)
+        tokens = tokens.where(F.col("at") <= F.col("n") - F.ceil(similarity * F.col("n") - 1e-9)).join(many, "id")
         tokens = scratch.save(spark, tokens.where("c > 1").withColumn("parts", F.ceil(F.col("c") / SALTED)), "line-prefixes")
-        side = lambda s, salt: tokens.select("token", salt.alias("salt"), *(F.col(c).alias(f"{c}{s}") for c in ("h", "root", "n", "at")))
-        met = side("x", F.pmod(F.xxhash64("h"), F.col("parts"))).join(side("y", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))), ["token", "salt"]).where("hx < hy and rootx <> rooty")
+        side = lambda s, salt: tokens.select("token", salt.alias("salt"), *(F.col(c).alias(f"{c}{s}") for c in ("id", "root", "n", "at")))
+        near = side("x", F.pmod(F.xxhash64("id"), F.col("parts"))).join(side("y", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))), ["token", "salt"]).where("idx < idy and rootx <> rooty")
         need = similarity / (1 + similarity) * (F.col("nx") + F.col("ny")) - 1e-9
-        pairs = pairs.union(met.where(F.least(F.col("nx") - F.col("atx"), F.col("ny") - F.col("aty")) >= need).select(*_pair("hx", "hy")))
+        pairs = pairs.union(near.where(F.least(F.col("nx") - F.col("atx"), F.col("ny") - F.col("aty")) >= need).select(*_pair("idx", "idy")))
     return pairs.distinct()
 
 
-def _texts(spark: SparkSession, docs: DataFrame, firsts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(h, line) of the lines wanted, fetched from where each is first."""
-    places = firsts.select("h", "doc_id", "line_no").join(wanted, "h", "left_semi")
-    places = places.groupBy("doc_id").agg(F.collect_list("line_no").alias("nos"))
-    got = docs.withColumn("doc_id", F.coalesce("doc_id", F.lit(NULL_ID))).join(small(places.withColumn("doc_id", F.coalesce("doc_id", F.lit(NULL_ID)))), "doc_id")
-    lines = F.split("text", "\n")
-    got = got.withColumn("_l", lines).select(F.explode(F.transform("nos", lambda i: normal(F.coalesce(F.get(F.col("_l"), i), F.lit("")))).alias("line")).alias("line"))
-    return scratch.save(spark, got.select(F.xxhash64("line").alias("h"), "line").join(wanted, "h", "left_semi").dropDuplicates(["h"]), "line-texts")
-
-
-def _verified(spark: SparkSession, docs: DataFrame, firsts: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
-    """The pairs whose lines are similar. Texts are fetched for the lines in question only."""
-    texts = _texts(spark, docs, firsts, pairs.select(F.col("a").alias("h")).union(pairs.select("b")).distinct())
-    x, y = texts.select(F.col("h").alias("a"), F.col("line").alias("x")), texts.select(F.col("h").alias("b"), F.col("line").alias("y"))
+def _verified(spark: SparkSession, firsts: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
+    """The pairs whose lines are similar."""
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    texts = scratch.save(spark, firsts.select("id", "line").join(ids, "id", "left_semi"), "line-texts")
+    x, y = texts.select(F.col("id").alias("a"), F.col("line").alias("x")), texts.select(F.col("id").alias("b"), F.col("line").alias("y"))
     both = pairs.join(x, "a").join(y, "b")
     sets = both.select("a", "b", *(shingles(F.col(c), VERIFY).alias(c) for c in "xy"))
     # The row number keeps Catalyst from moving the filter below the sets, where it would make them several times.
-    sets = sets.select("a", "b", F.size(F.array_intersect("x", "y")).alias("n"), (F.size("x") + F.size("y")).alias("both"), F.monotonically_increasing_id().alias("_row"))
-    sets = sets.where((F.col("_row") >= 0) & (F.col("n") >= similarity * (F.col("both") - F.col("n"))))
-    return scratch.save(spark, sets.select("a", "b"), "line-links")
+    sets = sets.select("a", "b", F.size(F.array_intersect("x", "y")).alias("n"), F.size(F.array_union("x", "y")).alias("of"), F.monotonically_increasing_id().alias("_row"))
+    return scratch.save(spark, sets.where((F.col("_row") >= 0) & (F.col("n") >= similarity * F.col("of"))).select("a", "b"), "line-links")
 
 
-def find(spark: SparkSession, documents: DataFrame, similarity: float = 0.8) -> DataFrame:
-    """doc_id, line_no (from 0) and h of each line that goes, with keep_doc_id and keep_line_no of the one that stays."""
+def _found(spark: SparkSession, documents: DataFrame, similarity: float) -> DataFrame:
+    """doc_id (not null), text_hash, line_no and h of each line that goes, with the place of the one that stays."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     with scratch.scope(spark) as kept:
         to = kept(_keepers(spark, docs, similarity))
-    met = _lines(docs).select("doc_id", "line_no", "h").join(small(to), "h")
-    return met.where(~(F.col("doc_id").eqNullSafe(F.col("keep_doc_id")) & (F.col("line_no") == F.col("keep_line_no")))).select("doc_id", "line_no", "h", "keep_doc_id", "keep_line_no")
+    scratch.release(spark)
+    met = _lines(docs).select("doc_id", "text_hash", "line_no", "place", *_hashes()).join(to, ["h", "g"])
+    return met.where("place <> keep").select("doc_id", "text_hash", "line_no", "h", "keep")
+
+
+def find(spark: SparkSession, documents: DataFrame, similarity: float = 0.8) -> DataFrame:
+    """doc_id and line_no (from 0) of each line that goes, with keep_doc_id and keep_line_no of the one that stays."""
+    span = F.lit(TEXT_SPAN << 32).cast("decimal(18,0)")
+    named = lambda c: F.nullif(c.cast("long"), F.lit(NULL_ID))
+    return _found(spark, documents, similarity).select(
+        named(F.col("doc_id")).alias("doc_id"), "line_no", named((F.col("keep") - F.pmod("keep", span)) / span).alias("keep_doc_id"), F.pmod("keep", F.lit(1 << 32).cast("decimal(10,0)")).cast("int").alias("keep_line_no")
+    )
 
 
 def _keepers(spark: SparkSession, docs: DataFrame, similarity: float) -> DataFrame:
-    """(h, keep_doc_id, keep_line_no) of the lines that occur more than once or are linked."""
-    # The place is one decimal, so that the aggregate stays in its hash map and equal lines meet before the shuffle.
-    span = F.lit(1 << 32).cast("decimal(10,0)")
-    place = F.coalesce("doc_id", F.lit(NULL_ID)).cast("decimal(20,0)") * span + F.col("line_no").cast("decimal(10,0)")
-    first = _signed(_lines(docs)).groupBy("h", "g").agg(F.min(place).alias("p"), F.count("*").alias("n"), *(F.first(f"b{k}").alias(f"b{k}") for k in range(BANDS)))
-    first = first.withColumn("line_no", F.pmod("p", span)).withColumn("doc_id", ((F.col("p") - F.col("line_no")) / span).cast("long"))
-    firsts = scratch.save(spark, first.select("h", "g", F.nullif("doc_id", F.lit(NULL_ID)).alias("doc_id"), F.col("line_no").cast("int").alias("line_no"), "n", *(f"b{k}" for k in range(BANDS))), "lines")
+    """(h, g, keep) of the lines that occur more than once or are linked; keep: the place of the one that stays."""
+    firsts = _lines(docs).groupBy("line").agg(F.min("place").alias("place"), F.count("*").alias("n"))
+    firsts = scratch.save(spark, firsts.select(F.monotonically_increasing_id().alias("id"), "line", "place", "n"), "lines")
+    scratch.release(spark)
     met = scratch.save(spark, _meetings(firsts), "line-meetings")
+    scratch.release(spark)
     pairs = scratch.save(spark, _candidates(met), "line-pairs")
-    links = _verified(spark, docs, firsts, pairs, similarity)
+    links = _verified(spark, firsts, pairs, similarity)
     groups = connected_components(spark, links, "lines")
-    rest = scratch.save(spark, _rest(spark, docs, firsts, met, groups, similarity).join(pairs, ["a", "b"], "left_anti"), "line-rest-pairs")
+    for _ in range(HUB_ROUNDS - 1):
+        more = scratch.save(spark, _more_candidates(met, groups, pairs), "line-more-pairs")
+        if more.isEmpty():
+            break
+        found = _verified(spark, firsts, more, similarity)
+        pairs = pairs.union(more)
+        if found.isEmpty():
+            break
+        links = links.union(found)
+        groups = connected_components(spark, links, "lines")
+    rest = scratch.save(spark, _rest(spark, firsts, met, groups, similarity).join(pairs, ["a", "b"], "left_anti"), "line-rest-pairs")
+    scratch.release(spark)
     if not rest.isEmpty():
-        groups = connected_components(spark, links.union(_verified(spark, docs, firsts, rest, similarity)), "lines-all")
-    named = firsts.select("h", "doc_id", "line_no", "n").join(small(groups.withColumnRenamed("id", "h")), "h", "left")
-    several = named.where("n > 1 or root is not null").withColumn("root", F.coalesce("root", "h"))
-    keeper = several.groupBy("root").agg(F.min(F.struct("doc_id", "line_no")).alias("keep"))
-    return scratch.save(spark, several.join(keeper, "root").select("h", F.col("keep.doc_id").alias("keep_doc_id"), F.col("keep.line_no").alias("keep_line_no")), "line-keepers")
+        groups = connected_components(spark, links.union(_verified(spark, firsts, rest, similarity)), "lines-all")
+    named = firsts.select("id", *_hashes(), "place", "n").join(groups, "id", "left")
+    several = named.where("n > 1 or root is not null").withColumn("root", F.coalesce("root", "id"))
+    keeper = several.groupBy("root").agg(F.min("place").alias("keep"))
+    return scratch.save(spark, several.join(keeper, "root").select("h", "g", "keep"), "line-keepers")
 
 
 def drop_lines(spark: SparkSession, documents: DataFrame, similarity: float = 0.8) -> DataFrame:
     """documents without the lines that go, with all columns."""
     with scratch.scope(spark) as kept:
-        gone = find(spark, documents, similarity).where("doc_id is not null")
-        gone = kept(scratch.save(spark, gone.groupBy(F.col("doc_id").alias("_doc_id")).agg(F.collect_set(F.xxhash64("line_no", "h")).alias("_gone")), "lines-gone"))
+        gone = _found(spark, documents, similarity).distinct()
+        gone = kept(scratch.save(spark, gone.groupBy(F.col("doc_id").alias("_doc_id"), F.col("text_hash").alias("_text_hash")).agg(F.collect_set(F.xxhash64("line_no", "h")).alias("_gone")), "lines-gone"))
+    scratch.release(spark)
     whole = documents.select(F.struct("*").alias("_doc"))  # whatever the columns' names are
-    # No hint: whether these arrays are small enough to be broadcast is for the session's threshold to say.
-    met = whole.join(gone, F.col("_doc.doc_id").cast("long") == F.col("_doc_id"), "left")
+    doc_id = F.coalesce(F.col("_doc.doc_id").cast("long"), F.lit(NULL_ID))
+    met = whole.join(gone, (doc_id == F.col("_doc_id")) & (F.xxhash64("_doc.text") == F.col("_text_hash")), "left")
     kept = F.filter(F.split("_doc.text", "\n"), lambda x, i: ~F.array_contains(F.col("_gone"), F.xxhash64(i, F.xxhash64(normal(x)))))
     met = met.withColumn("_new", F.when(F.col("_gone").isNotNull(), F.array_join(kept, "\n")))
     doc = F.col("_doc").withField("text", F.coalesce("_new", "_doc.text"))
