@@ -21,9 +21,8 @@ SPACY_KINDS = {
     "ORDINAL": "SomethingElse", "CARDINAL": "YearPerhaps",
 }
 STANFORD_KINDS = {"PERSON": "Person", "LOCATION": "Loc", "ORGANIZATION": "Org"}
-#: Last words that make a name a street or a water rather than a place to live.
-GENERAL_LAST = ("Street", "St.", "Avenue", "Ave.", "Boulevard", "Road", "Drive", "Lane", "River", "Lake", "Ocean", "Creek", "Bay", "Highway")
-GENERAL_FIRST = ("Lake", "River", "Mount", "Gulf")
+#: Last words that make a name a street or a water rather than a place to live; fixed values.
+GENERAL_LAST = ("Avenue", "Ave", "Boulevard", "Blvd", "Street", "St", "Road", "Lane", "Lake", "River")
 
 
 def _map(kinds: dict[str, str], label: Column) -> Column:
@@ -109,9 +108,13 @@ def trimmed_name(name: Column) -> Column:
     return F.regexp_replace(n, "^(?i:the (city|town|state|village) of )", "")
 
 
-def is_general(name: Column) -> Column:
-    """Streets and waters, which aren't places to resolve."""
-    return F.element_at(F.split(name, " "), -1).isin(*GENERAL_LAST) | F.get(F.split(name, " "), F.lit(0)).isin(*GENERAL_FIRST)
+def is_general(name: Column, context: Column | None = None) -> Column:
+    """Streets and waters, which aren't places to resolve: by the last word, behind a space or bracket and without a dot at its
+    end; a name that begins with Lake unless the context says more than the name."""
+    last = F.regexp_extract(F.regexp_replace(F.trim(name), "\\.$", ""), "([^\\[ ]*)$", 1)
+    said = F.trim(F.regexp_replace(name if context is None else context, "[\\[\\]]", ""))
+    alone = F.startswith(name, F.lit("Lake ")) & F.startswith(said, F.lit("Lake ")) & (F.length(said) <= F.length(name))
+    return last.isin(*GENERAL_LAST) | alone
 
 
 def organization_attempts(name: Column) -> Column:
@@ -172,11 +175,11 @@ def resolve_places(entities: DataFrame, states: list[tuple[str, str, tuple[str,
     d = d.withColumns({"own": looked_up_state(F.col("name"), states), "head": F.trim(F.regexp_extract("name", "^([^,\\[]+)", 1)), "tail": F.trim(F.regexp_extract("name", "[,\\[](.*)$", 1))})
     near = F.lead("start").over(w) - F.col("end") <= limits.adjacency_chars
     d = d.withColumns({"behind": F.coalesce(F.when(F.col("tail") != "", looked_up_state(F.col("tail"), states)), F.when(near, F.lead("own").over(w))), "whole": F.col("own").isNotNull() & (F.col("tail") == "")})
-    general = is_general(F.col("head"))
+    general = is_general(F.col("head"), F.col("name"))
     rows = d.where(~general).select("segment_id", "start", "text", "confidence", "head", "own", "whole", F.when(~F.col("whole"), F.col("behind")).alias("state"))
     p = places.select(F.col("state"), F.col("name").alias("head"), F.col("place_id").alias("by_state"))
     h = hints.select(F.col("name").alias("head"), F.col("state").alias("h_state"), F.col("place_id").alias("by_hint"))
-    met = rows.join(J.first_wins(p.withColumn("o", F.col("by_state")), ["state", "head"], "o").drop("o"), ["state", "head"], "left").join(F.broadcast(h), "head", "left")
+    met = rows.join(J.first_wins(p.withColumn("o", F.col("by_state")), ["state", "head"], "o").drop("o"), ["state", "head"], "left").join(h, "head", "left")
     met = met.withColumns({
         "state": F.when(F.col("whole"), F.col("own")).when(F.col("by_state").isNotNull(), F.col("state")).when(F.col("state").isNull() | (F.col("state") == F.col("h_state")), F.col("h_state")),
         "place_id": F.when(F.col("by_state").isNotNull(), F.col("by_state")).when(~F.col("whole") & (F.col("state").isNull() | (F.col("state") == F.col("h_state"))), F.col("by_hint")),
@@ -192,9 +195,9 @@ def resolve_world(unresolved: DataFrame, countries: DataFrame, hints: DataFrame,
     country_id), or a city (name, country_id, city_id) whose country stands behind it, or that is the only one of its name.
     all_matches: countries without a city count each; else only a segment's first of them."""
     u = unresolved.withColumn("n_tail", F.trim(F.regexp_replace("tail", "\\]$", "")))
-    c = F.broadcast(countries.select(F.col("name").alias("head"), F.col("country_id").alias("as_country")))
-    t = F.broadcast(countries.select(F.col("name").alias("n_tail"), F.col("country_id").alias("tail_country")))
-    h = F.broadcast(J.first_wins(hints.withColumn("o", F.col("city_id")), "name", "o").select(F.col("name").alias("head"), F.col("city_id").alias("h_city"), F.col("country_id").alias("h_country")))
+    c = countries.select(F.col("name").alias("head"), F.col("country_id").alias("as_country"))
+    t = countries.select(F.col("name").alias("n_tail"), F.col("country_id").alias("tail_country"))
+    h = J.first_wins(hints.withColumn("o", F.col("city_id")), "name", "o").select(F.col("name").alias("head"), F.col("city_id").alias("h_city"), F.col("country_id").alias("h_country"))
     several = cities.groupBy("name").agg(F.collect_list(F.struct("country_id", "city_id")).alias("c")).withColumnRenamed("name", "head")
     d = u.join(c, "head", "left").join(t, "n_tail", "left").join(h, "head", "left").join(several, "head", "left")
     there = F.get(F.filter("c", lambda x: x["country_id"] == F.col("tail_country")), F.lit(0))

@@ -6,6 +6,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def group_count(parents: DataFrame, children: DataFrame, key: str, alias: str = "n") -> DataFrame:
+    """Each parent with the number of its children. Only children of these parents are counted."""
+    counts = children.join(parents.select(key), key, "left_semi").groupBy(key).agg(F.count("*").alias(alias))
+    return parents.join(counts, key, "left").withColumn(alias, F.coalesce(alias, F.lit(0).cast("bigint")))
+
+
 def group_join(parents: DataFrame, children: DataFrame, key: str, item: Column, alias: str = "items") -> DataFrame:
     """Each parent with the sorted array of its children's items; parents without children have an empty one. Children are
     grouped before the join, so parents aren't repeated."""
@@ -61,15 +67,24 @@ def orphans(listing: DataFrame, scopes: dict[str, DataFrame], scope: str = "scop
     return listing.join(known, [scope, key], "left").withColumn("is_valid", F.coalesce("is_valid", F.lit(False)))
 
 
-def contained_in(points: DataFrame, spans: DataFrame, key: str, start: str, end: str, lower: str, upper: str) -> DataFrame:
-    """Rows whose [start, end] lies within a span [lower, upper] of the same key: a range join inside an equi-join."""
-    met = points.join(spans, key)
-    return met.where((F.col(start) >= F.col(lower)) & (F.col(end) <= F.col(upper)))
+def _celled(df: DataFrame, start: str, end: str, cell: float) -> DataFrame:
+    """Each interval once for each cell of the line that it touches."""
+    at = lambda c: F.floor(F.col(c) / cell)
+    return df.withColumn("_cell", F.explode(F.sequence(at(start), F.greatest(at(start), at(end)))))
+
+
+def contained_in(points: DataFrame, spans: DataFrame, key: str, start: str, end: str, lower: str, upper: str, cell: float = 60_000) -> DataFrame:
+    """Rows whose [start, end] lies within a span [lower, upper] of the same key. Both are joined by key and by the cell of the line in
+    which the row starts, so a key's rows meet the spans near them only; `cell` is about a span's usual length."""
+    met = points.withColumn("_cell", F.floor(F.col(start) / cell)).join(_celled(spans, lower, upper, cell), [key, "_cell"])
+    return met.where((F.col(start) >= F.col(lower)) & (F.col(end) <= F.col(upper))).drop("_cell")
 
 
-def overlapping(left: DataFrame, right: DataFrame, key: str, s1: str, e1: str, s2: str, e2: str) -> DataFrame:
-    """Pairs of half-open intervals of the same key that overlap."""
-    return left.join(right, key).where((F.col(s1) < F.col(e2)) & (F.col(s2) < F.col(e1)))
+def overlapping(left: DataFrame, right: DataFrame, key: str, s1: str, e1: str, s2: str, e2: str, cell: float = 60_000) -> DataFrame:
+    """Pairs of half-open intervals of the same key that overlap, joined by key and cell of the line; a pair counts in the cell of
+    the later start."""
+    met = _celled(left, s1, e1, cell).join(_celled(right, s2, e2, cell), [key, "_cell"])
+    return met.where((F.col(s1) < F.col(e2)) & (F.col(s2) < F.col(e1)) & (F.col("_cell") == F.floor(F.greatest(s1, s2) / cell))).drop("_cell")
 
 
 def ordinal_zip(left: DataFrame, right: DataFrame, key: str, left_order: list[str], right_order: list[str]) -> DataFrame:
@@ -117,9 +132,9 @@ def first_wins(gazetteer: DataFrame, key: str | list[str], order: str) -> DataFr
     return gazetteer.groupBy(*keys).agg(F.min_by(F.struct(*rest), order).alias("_r")).select(*keys, "_r.*")
 
 
-def next_within(df: DataFrame, key: str, start: str, end: str, value: str, limit: int) -> Column:
-    """The value of the next row (by start) of the same key if it starts at most `limit` after this one ends."""
-    w = Window.partitionBy(key).orderBy(start)
+def next_within(key: str, start: str, end: str, value: str, limit: int, *ties: str) -> Column:
+    """The value of the next row (by start, then `ties`) of the same key if it starts at most `limit` after this one ends."""
+    w = Window.partitionBy(key).orderBy(start, *ties)
     return F.when(F.lead(start).over(w) - F.col(end) <= limit, F.lead(value).over(w))
 
 

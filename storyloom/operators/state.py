@@ -60,3 +60,16 @@ def best_pass(results: DataFrame, key: str) -> DataFrame:
     """Of several aligner passes the one with fewer unaligned words, then the shorter longest run, then the earlier."""
     rest = [c for c in results.columns if c != key]
     return results.groupBy(key).agg(F.min_by(F.struct(*rest), F.struct("unaligned", "max_run", "pass")).alias("_r")).select(key, "_r.*")
+
+
+def acquire(locks: DataFrame, wanted: DataFrame) -> DataFrame:
+    """locks and wanted (segment_id, pid, host) -> the locks after it. A segment has one lock and a process (pid, host) holds one: of
+    the requests for what is free, first the least process of each segment, then the least segment of each process."""
+    free = wanted.join(locks, "segment_id", "left_anti").join(locks, ["pid", "host"], "left_anti").select("segment_id", "pid", "host").distinct()
+    mine = free.groupBy("segment_id").agg(F.min(F.struct("host", "pid")).alias("p")).select("segment_id", "p.pid", "p.host")
+    return locks.unionByName(mine.groupBy("pid", "host").agg(F.min("segment_id").alias("segment_id")))
+
+
+def release(locks: DataFrame, done: DataFrame) -> DataFrame:
+    """The locks without those of the segments done, each by the process that holds it."""
+    return locks.join(done, ["segment_id", "pid", "host"], "left_anti")

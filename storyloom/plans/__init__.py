@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("lookups", "joins", "aggregates", "sequences", "scalars", "state", "archive", "feeds")
+MODULES = ("lookups", "joins", "aggregates", "sequences", "scalars", "state", "archive", "ingest", "feeds")
 
 
 def load():

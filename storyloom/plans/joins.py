@@ -21,12 +21,12 @@ def _lines(spark, d):
 
 @query("hierarchy_inner_join", """
 SELECT c_name, o_orderkey, l_linenumber::BIGINT AS line, l_partkey, l_suppkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
-JOIN nation ON c_nationkey = n_nationkey WHERE n_name LIKE '%A%' AND l_linenumber <= 2""")
+JOIN nation ON c_nationkey = n_nationkey WHERE n_name LIKE '%A%'""")
 def hierarchy_inner_join(spark, d):
     n = table(spark, d, "nation").where("n_name like '%A%'")
     c = table(spark, d, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey"))
     o = _orders(spark, d).join(c, F.col("o_custkey") == F.col("c_custkey"))
-    return _lines(spark, d).where("line <= 2").join(o, "orderkey").select("c_name", F.col("orderkey").alias("o_orderkey"), "line", "l_partkey", "l_suppkey")
+    return _lines(spark, d).join(o, "orderkey").select("c_name", F.col("orderkey").alias("o_orderkey"), "line", "l_partkey", "l_suppkey")
 
 
 @query("group_join_left_outer", """
@@ -41,7 +41,7 @@ def group_join_left_outer(spark, d):
 SELECT o_orderkey AS orderkey, count(l_linenumber) AS n FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey WHERE o_orderstatus <> 'F' GROUP BY 1""")
 def group_join_filtered(spark, d):
     o = _orders(spark, d).where("o_orderstatus <> 'F'").select("orderkey")
-    return J.group_join(o, _lines(spark, d), "orderkey", F.struct("line", "l_partkey")).select("orderkey", F.size("items").cast(B).alias("n"))
+    return J.group_count(o, _lines(spark, d).select("orderkey"), "orderkey")
 
 
 @query("semi_join_tagged", "SELECT doc_id, source FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1)")
@@ -119,7 +119,7 @@ def range_containment_join(spark, d):
     e = table(spark, d, "events")
     words = e.where("event_type = 'purchase'").select("user_id", "event_id", F.col("value").alias("s"), (F.col("value") + 1).alias("e"))
     spans = e.where("event_type = 'signup'").select("user_id", F.col("event_id").alias("paragraph"), F.col("value").alias("lo"), (F.col("value") + 30).alias("hi"))
-    return J.contained_in(words, spans, "user_id", "s", "e", "lo", "hi").select("user_id", "event_id", "paragraph")
+    return J.contained_in(words, spans, "user_id", "s", "e", "lo", "hi", cell=30).select("user_id", "event_id", "paragraph")
 
 
 @query("interval_overlap_join", """
@@ -129,7 +129,7 @@ def interval_overlap_join(spark, d):
     e = table(spark, d, "events")
     a = e.where("event_type = 'view'").select("user_id", F.col("event_id").alias("first_id"), F.col("value").alias("s1"), (F.col("value") + 3).alias("e1"))
     b = e.where("event_type = 'click'").select("user_id", F.col("event_id").alias("second_id"), F.col("value").alias("s2"), (F.col("value") + 5).alias("e2"))
-    return J.overlapping(a, b, "user_id", "s1", "e1", "s2", "e2").select("user_id", "first_id", "second_id")
+    return J.overlapping(a, b, "user_id", "s1", "e1", "s2", "e2", cell=5).select("user_id", "first_id", "second_id")
 
 
 @query("ordinal_zip", """
@@ -184,11 +184,8 @@ def ranked_lookup(spark, d):
 @query("adjacency_lookahead", """
 SELECT user_id, event_id, CASE WHEN lead(value) OVER w - (value + 1) <= 4 THEN lead(event_type) OVER w END AS following FROM events WINDOW w AS (PARTITION BY user_id ORDER BY value, event_id)""")
 def adjacency_lookahead(spark, d):
-    e = table(spark, d, "events").select("user_id", "event_id", F.struct("value", "event_id").alias("o"), "value", (F.col("value") + 1).alias("e"), "event_type")
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("user_id").orderBy("value", "event_id")
-    return e.select("user_id", "event_id", F.when(F.lead("value").over(w) - F.col("e") <= 4, F.lead("event_type").over(w)).alias("following"))
+    e = table(spark, d, "events").select("user_id", "event_id", "value", (F.col("value") + 1).alias("e"), "event_type")
+    return e.select("user_id", "event_id", J.next_within("user_id", "value", "e", "event_type", 4, "event_id").alias("following"))
 
 
 @query("twin_propagation", """

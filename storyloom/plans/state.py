@@ -77,24 +77,24 @@ def best_aligner_pass(spark, d):
 
 def _old_new(spark, d):
     c = table(spark, d, "customer")
-    old = c.where("c_custkey % 3 <> 0").select(F.col("c_custkey").alias("k"), F.col("c_acctbal").alias("v"))
-    return old, c.where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("k"), (F.col("c_acctbal") + 1).alias("v"))
+    old = c.where("c_acctbal >= 0").select(F.col("c_custkey").alias("k"), F.col("c_acctbal").alias("v"))
+    return old, c.where("c_acctbal < 5000").select(F.col("c_custkey").alias("k"), (F.col("c_acctbal") + 1).alias("v"))
 
 
-@query("insert_if_absent", "SELECT c_custkey AS k, CASE WHEN c_custkey % 3 <> 0 THEN c_acctbal ELSE c_acctbal + 1 END AS v FROM customer WHERE c_custkey % 3 <> 0 OR c_custkey % 2 = 0")
+@query("insert_if_absent", "SELECT c_custkey AS k, CASE WHEN c_acctbal >= 0 THEN c_acctbal ELSE c_acctbal + 1 END AS v FROM customer")
 def insert_if_absent(spark, d):
     return M.insert_if_absent(*_old_new(spark, d), ["k"])
 
 
-@query("upsert", "SELECT c_custkey AS k, CASE WHEN c_custkey % 2 = 0 THEN c_acctbal + 1 ELSE c_acctbal END AS v FROM customer WHERE c_custkey % 3 <> 0 OR c_custkey % 2 = 0")
+@query("upsert", "SELECT c_custkey AS k, CASE WHEN c_acctbal < 5000 THEN c_acctbal + 1 ELSE c_acctbal END AS v FROM customer")
 def upsert(spark, d):
     return M.upsert(*_old_new(spark, d), ["k"], "v")
 
 
-@query("insert_set", "SELECT o_custkey AS a, o_orderstatus AS b FROM orders WHERE o_orderkey % 2 = 0 UNION SELECT o_custkey, o_orderstatus FROM orders WHERE o_orderkey % 3 = 0")
+@query("insert_set", "SELECT o_custkey AS a, o_orderstatus AS b FROM orders WHERE o_orderstatus <> 'F' UNION SELECT o_custkey, o_orderstatus FROM orders WHERE o_orderstatus <> 'O'")
 def insert_set(spark, d):
     o = table(spark, d, "orders").select(F.col("o_custkey").alias("a"), F.col("o_orderstatus").alias("b"), "o_orderkey")
-    return M.insert_set(o.where("o_orderkey % 2 = 0").drop("o_orderkey"), o.where("o_orderkey % 3 = 0").drop("o_orderkey"))
+    return M.insert_set(o.where("o_orderstatus <> 'F'").drop("o_orderkey"), o.where("o_orderstatus <> 'O'").drop("o_orderkey"))
 
 
 @query("replace_children", """
@@ -127,10 +127,10 @@ def queue_drain(spark, d):
     return M.dequeue(table(spark, d, "customer").select("c_custkey"), table(spark, d, "orders").where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("c_custkey")), "c_custkey")
 
 
-@query("hash_diff", "SELECT doc_id::VARCHAR AS path, base64(unhex(md5(text))) AS content_md5 FROM documents WHERE doc_id % 3 = 0 OR doc_id % 5 = 0")
+@query("hash_diff", "SELECT doc_id::VARCHAR AS path, base64(unhex(md5(text))) AS content_md5 FROM documents WHERE lang <> 'en' OR n_chars < 1000")
 def hash_diff(spark, d):
-    t = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("path"), F.col("text").alias("content"), "doc_id")
-    manifest = t.where("doc_id % 3 <> 0").select("path", X.md5_base64(F.when(F.col("doc_id") % 5 == 0, F.lit("old")).otherwise(F.col("content"))).alias("content_md5"))
+    t = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("path"), F.col("text").alias("content"), "lang", "n_chars")
+    manifest = t.where("lang = 'en'").select("path", X.md5_base64(F.when(F.col("n_chars") < 1000, F.lit("old")).otherwise(F.col("content"))).alias("content_md5"))
     return M.changed(t, manifest).select("path", "content_md5")
 
 
