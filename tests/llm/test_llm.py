@@ -310,6 +310,57 @@ def test_secrets_battery_tells_random_from_text(spark):
     assert sum(got[i] for i in keys) >= 25 and not any(got[100 + i] for i in range(100))
 
 
+def battery(token, alphabet):
+    """The bin of the battery's verdict, by the tests' formulas."""
+    x, k, n = [alphabet.index(c) for c in token], len(alphabet), len(token)
+    f, chi = k - 1, sum((x.count(c) - n / k) ** 2 for c in range(k)) * k / n
+    p = [0.5 * math.erfc(((chi / f) ** (1 / 3) - (1 - 2 / (9 * f))) / math.sqrt(2 / (9 * f)) / math.sqrt(2))]
+    high = [c >= k / 2 for c in x]
+    h, mean = sum(high), sum(x) / n
+    if 0 < h < n:
+        expected = 1 + 2 * h * (n - h) / n
+        var = (expected - 1) * (expected - 2) / (n - 1)
+        p.append(math.erfc(abs(1 + sum(a != b for a, b in zip(high, high[1:])) - expected) / math.sqrt(2 * var)) if var > 0 else 1)
+    else:
+        p.append(2.0 ** (1 - n))
+    s = sum((c - mean) ** 2 for c in x)
+    p.append(math.erfc(abs(sum((a - mean) * (b - mean) for a, b in zip(x, x[1:])) / s) * math.sqrt(n / 2)) if s else 2.0 ** (1 - n))
+    return min(secret_scan.BINS - 1, int(-math.log2(max(min(1, 3 * min(p)), 2.0**-70))))
+
+
+def test_secrets_battery_is_that_of_the_formulas():
+    rng = random.Random(21)
+    for e, (_, alphabet) in enumerate(secret_scan.ALPHABETS):
+        tokens = ["".join(rng.choices(alphabet[: rng.choice([1, 2, 5, len(alphabet)])], k=rng.randint(16, 90))) for _ in range(200)]
+        n = np.array([len(t) for t in tokens])
+        x = secret_scan._NUMBER[e, np.frombuffer("".join(tokens).encode(), np.uint8)]
+        got = secret_scan.Draws(x, len(alphabet)).bins(np.cumsum(n) - n, n)
+        assert got.tolist() == [battery(t, alphabet) for t in tokens]
+
+
+def test_secrets_null_is_all_of_ordinary_text():
+    texts = ["Some words, été 12 and " + "x" * 20 + " more; " * 30, "", None, "a Bc\ndef " * 40, "q" * 15 + " " + "Z9" * 8 + " end"]
+    data, offsets = textkernel.buffers(pa.array(texts))
+    got = np.zeros(secret_scan.SHAPE, np.int64)
+    secret_scan._ordinary(data, offsets, got)
+    want = np.zeros_like(got)
+    for t in texts:
+        t = re.sub("[A-Za-z0-9+/_-]{16,}", "", t or "")
+        views = {0: t, 1: t.lower(), 3: t.lower(), 4: t.upper(), 5: t, 6: re.sub(r"[ \n]", "-", t)}
+        for e, view in views.items():
+            alphabet = secret_scan.ALPHABETS[e][1]
+            row = [c for c in view if c in alphabet]
+            for c, n in enumerate(secret_scan.LENGTHS):
+                for i in range(0, len(row) - n + 1, n):
+                    want[e, c, battery("".join(row[i : i + n]), alphabet)] += 1
+    assert (got == want).all() and want.sum() > 100
+
+
+def test_secrets_candidates_have_any_characters():
+    for t, e in (("12345678901234567", "decimal"), ("qwkjhgfdsazxcvbnmp", "lower"), ("QWKJHGFDSAZXCVBNMP", "base32"), ("0A1B2C3D4E5F6A7B8", "HEX"), ("abc/def-ghi_jkl+mno", "base64")):
+        assert [(a, b, secret_scan.ALPHABETS[k][0]) for a, b, k in secret_scan.candidates(f"x {t}. y", [])] == [(2, 2 + len(t), e)]
+
+
 def test_secrets_after_an_equals_sign_are_candidates():
     for before, key in (("auth=", "Zm9vYmFyQmF6UXV4MTIzNDU2Nzg5"), ("access_key=", "wJalrXUtnFEMIK7MDENGbPxRfiCYEXAMPLEKEY"), ("?sig==", "Zm9vYmFyQmF6UXV4MTIzNDU2Nzg5")):
         text = f"x {before}{key}== y"
