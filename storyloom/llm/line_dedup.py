@@ -1,10 +1,11 @@
 """Fuzzy line dedup: MinHash signatures of character shingles, banding, exact Jaccard verification, union-find.
 
-Lines are compared without white space at their ends and in lower case; lines without other characters are left alone. Only
-built-in column functions are used.
+Lines are compared without white space at their ends and in lower case; lines without other characters are left alone. Lines
+are found, counted, paired and united by column functions; hashes of shingles and sets of them are numpy's on Arrow batches,
+since column functions take three times the CPU for them (README).
 
 1. Equal lines become one, by their text, with their first place and count; it is numbered and written.
-2. Each gives 64-bit hashes of all its runs of SHINGLE bytes. In their order, which is the same for all lines, each three in
+2. Each gives hashes of all its runs of SHINGLE characters. In their order, which is the same for all lines, each three in
    a row make a band, BANDS at most: lines whose least hashes agree in a row of three meet.
 3. Each line is first paired with one other: the first of a band, the one that it meets in most of its bands. As long as this
    unites lines, and HUB_ROUNDS times at most, each group is then paired in the same way with each other group of which it
@@ -12,7 +13,9 @@ built-in column functions are used.
 4. Each pair is verified once: Jaccard of the sets of all shingles of VERIFY characters at least `similarity`.
 5. Contraction unites linked lines. Lines of one band that are still in different groups are then compared as well: all
    with all in bands of at most SMALL lines; lines of larger bands where they share one of the rare shingles that any
-   similar pair must share (prefix, length and positional filters). No link within a band is lost.
+   similar pair must share (prefix, length and positional filters). Of these pairs only those go on whose sets' parities, in
+   BITS classes of shingles, differ in no more classes than the sets of a similar pair can differ in shingles. No link within
+   a band is lost.
 6. Of each group the first line by (doc_id, hash of the text, line number) stays.
 
 No join has a hint: what is broadcast is for the session's threshold in bytes to say.
@@ -24,11 +27,14 @@ of documents, whatever their names, and counts n_chars anew where a line goes. A
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from storyloom.llm import scratch
 from storyloom.llm.components import connected_components
+from storyloom.llm.textkernel import BASE, buffers, mix, slices
 
 SHINGLE, VERIFY, BANDS = 8, 5, 12
 WHITE = " \t\n\x0b\x0c\r"
@@ -42,6 +48,12 @@ SMALL = 64
 HUB_ROUNDS = 4
 #: Lines with one shingle that meet in one task.
 SALTED = 1000
+BITS = 512
+_WORDS = BITS // 64
+#: Bits of a hash beside the number of its line or pair in one sortable number.
+_LOW = 40
+_SET_LOW, _SET_PAIRS = 52, 4096
+
 
 def normal(line: Column) -> Column:
     """The line in lower case, without white space at its ends. Trimming spaces looks at the ends alone; trimming a set of characters walks
@@ -53,17 +65,110 @@ def normal(line: Column) -> Column:
     return F.lower(F.when(other, F.btrim(line, F.lit(WHITE))).otherwise(t))
 
 
-def runs(line: Column, size: int) -> Column:
-    """Hashes of all runs of so many bytes; a shorter line is one."""
-    # The bytes are bound as an array's only element, so that they are made once and not for each run.
-    each = lambda b: F.transform(F.sequence(F.lit(1), F.greatest(F.octet_length(b) - size + 1, F.lit(1))), lambda i: F.xxhash64(F.substr(b, i, F.lit(size))))
-    return F.get(F.transform(F.array(line.cast("binary")), each), F.lit(0))
-
-
-def shingles(line: Column, size: int) -> Column:
-    """Hashes of all shingles of so many characters, with repetitions; a shorter line is one."""
-    some = F.when(F.length(line) <= size, F.array(line)).otherwise(F.regexp_extract_all(line, F.lit(f"(?s)(?=(.{{{size}}}))."), 1))
-    return F.when(F.octet_length(line) == F.length(line), runs(line, size)).otherwise(F.transform(some, lambda s: F.xxhash64(s)))
+def shingles(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all shingles of so many characters, with repetitions, line after line, and how many each line has; a shorter
+    line is one."""
+    raw = data[offsets[0] : offsets[-1]]
+    chars = np.frombuffer(raw.tobytes().decode().encode("utf-32-le"), np.uint32)
+    begin = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])[offsets - offsets[0]]
+    length = np.diff(begin)
+    room = np.maximum(length, size)
+    first = np.cumsum(room) - room
+    v = np.zeros(int(room.sum()), np.uint64)
+    v[np.arange(len(chars)) + np.repeat(first - begin[:-1], length)] = mix(chars.astype(np.uint64) + np.uint64(1))
+    total = np.zeros(max(0, len(v) - size + 1), np.uint64)
+    for k in range(size):
+        total *= BASE
+        total += v[k : k + len(total)]
+    count = room - size + 1
+    at = np.arange(int(count.sum())) + np.repeat(first - (np.cumsum(count) - count), count)
+    return mix(total[at]), count
+
+
+def bands(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bands of the lines of one slice, and each band's line."""
+    h, count = shingles(data, offsets, SHINGLE)
+    low, line, wide = h >> np.uint64(64 - _LOW), np.repeat(np.arange(len(count)), count), BANDS + 2
+
+    def least(some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        key = np.sort((line[some].astype(np.uint64) << np.uint64(_LOW)) | low[some])
+        key = key[np.concatenate([[True], key[1:] != key[:-1]])] if len(key) else key
+        return key, np.bincount((key >> np.uint64(_LOW)).astype(np.int64), minlength=len(count))
+
+    # The least distinct hashes are among those below a bound, unless these repeat each other or are few by chance.
+    bound = np.minimum(4.0 * wide / np.maximum(count, 1), 1.0) * 2.0**_LOW
+    key, n = least(low < bound[line])
+    if (few := (n < wide) & (count > 4 * wide)).any():
+        key, n = least((low < bound[line]) | few[line])
+    size, first, low_bits = np.minimum(n, wide), np.cumsum(n) - n, np.uint64(2**_LOW - 1)
+    out, of = [], []
+    for i in range(BANDS):
+        sel = np.flatnonzero(size > i)
+        three = (key[first[sel] + (i + j) % size[sel]] & low_bits for j in range(3))
+        band = np.zeros(len(sel), np.uint64)
+        for x in three:
+            band = mix(band * BASE + x)
+        out.append(band)
+        of.append(sel)
+    return np.concatenate(out), np.concatenate(of)
+
+
+def _distinct(h: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each line's distinct hashes below its number, sorted, and how many they are; at most _SET_PAIRS lines."""
+    key = np.sort((np.repeat(np.arange(len(count), dtype=np.uint64), count) << np.uint64(_SET_LOW)) | (h >> np.uint64(64 - _SET_LOW)))
+    key = key[np.concatenate([[True], key[1:] != key[:-1]])] if len(key) else key
+    return key, np.bincount((key >> np.uint64(_SET_LOW)).astype(np.int64), minlength=len(count))
+
+
+def _few(offsets: np.ndarray):
+    """Ranges of rows of a slice, and of at most _SET_PAIRS."""
+    for i, j in slices(offsets):
+        for k in range(i, j, _SET_PAIRS):
+            yield k, min(j, k + _SET_PAIRS)
+
+
+def _sign(batches):
+    for b in batches:
+        data, offsets = buffers(b.column("line"))
+        ids = b.column("id").to_numpy(zero_copy_only=False)
+        for i, j in slices(offsets):
+            band, of = bands(data, offsets[i : j + 1])
+            yield pa.record_batch({"id": pa.array(ids[i:j][of]), "band": pa.array(band.view(np.int64))})
+
+
+def _compare(similarity: float):
+    def run(batches):
+        for b in batches:
+            (dx, ox), (dy, oy) = (buffers(b.column(c)) for c in "xy")
+            for i, j in _few(ox + oy):
+                (kx, nx), (ky, ny) = (_distinct(*shingles(d, o[i : j + 1], VERIFY)) for d, o in ((dx, ox), (dy, oy)))
+                both = np.sort(np.concatenate([kx, ky]))
+                both = np.bincount((both[1:][both[1:] == both[:-1]] >> np.uint64(_SET_LOW)).astype(np.int64), minlength=j - i)
+                good = pa.array(both >= similarity * (nx + ny - both))
+                yield pa.record_batch({c: b.column(c).slice(i, j - i).filter(good) for c in "ab"})
+
+    return run
+
+
+def _describe(batches):
+    """id, n (distinct shingles) and the parities of their classes."""
+    for b in batches:
+        data, offsets = buffers(b.column("line"))
+        for i, j in _few(offsets):
+            key, n = _distinct(*shingles(data, offsets[i : j + 1], VERIFY))
+            line = (key >> np.uint64(_SET_LOW)).astype(np.int64)
+            odd = np.bincount(line * BITS + (key & np.uint64(BITS - 1)).astype(np.int64), minlength=(j - i) * BITS) & 1
+            words = np.packbits(odd.astype(np.uint8).reshape(j - i, BITS), axis=1).view(np.int64)
+            yield pa.record_batch({"id": b.column("id").slice(i, j - i), "n": pa.array(n), **{f"b{k}": pa.array(np.ascontiguousarray(words[:, k])) for k in range(_WORDS)}})
+
+
+def _tokens(batches):
+    for b in batches:
+        data, offsets = buffers(b.column("line"))
+        ids = b.column("id").to_numpy(zero_copy_only=False)
+        for i, j in _few(offsets):
+            key, n = _distinct(*shingles(data, offsets[i : j + 1], VERIFY))
+            yield pa.record_batch({"id": pa.array(np.repeat(ids[i:j], n)), "token": pa.array((key & np.uint64(2**_SET_LOW - 1)).view(np.int64))})
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -83,14 +188,7 @@ def _hashes() -> list[Column]:
 
 def _bands(firsts: DataFrame) -> DataFrame:
     """(id, band) of each line."""
-    wide = 4 * (BANDS + 2)
-    d = firsts.select("id", F.sort_array(runs(F.col("line"), SHINGLE)).alias("_all")).withColumn("_m", F.array_distinct(F.slice("_all", 1, wide)))
-    # The least distinct hashes are among the first ones, unless these repeat each other.
-    whole = (F.size("_m") >= BANDS + 2) | (F.size("_all") <= wide)
-    d = d.withColumn("_m", F.slice(F.when(whole, F.col("_m")).otherwise(F.array_distinct("_all")), 1, BANDS + 2))
-    m, size = F.col("_m"), F.size("_m")
-    bands = F.transform(F.slice(m, 1, BANDS), lambda x, i: F.xxhash64(x, F.get(m, (i + 1) % size), F.get(m, (i + 2) % size)))
-    return d.select("id", F.explode(F.array_distinct(bands)).alias("band"))
+    return firsts.select("id", "line").mapInArrow(_sign, "id long, band long")
 
 
 def _meetings(firsts: DataFrame) -> DataFrame:
@@ -121,27 +219,41 @@ def _more_candidates(met: DataFrame, groups: DataFrame, tried: DataFrame) -> Dat
     return best.select(F.col("p.hub").alias("a"), F.col("p.id").alias("b"))
 
 
+def _may_be_similar(similarity: float) -> Column:
+    """Whether the sets of two described lines (columns with x and y at their ends) may be similar: by their sizes and the
+    shingles that they don't share, which are at least the classes whose parity is different."""
+    sizes = F.least("nx", "ny") >= similarity * F.greatest("nx", "ny") - 1e-9
+    other = sum((F.bit_count(F.col(f"b{k}x").bitwiseXOR(F.col(f"b{k}y"))) for k in range(1, _WORDS)), F.bit_count(F.col("b0x").bitwiseXOR(F.col("b0y"))))
+    return sizes & (other <= (1 - similarity) / (1 + similarity) * (F.col("nx") + F.col("ny")) + 1e-9)
+
+
 def _rest(spark: SparkSession, firsts: DataFrame, met: DataFrame, groups: DataFrame, similarity: float) -> DataFrame:
     """Distinct pairs (a, b) of lines that share a band and are in different groups, but for those that can't be similar."""
     rows = met.select("id", "band").join(groups, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    open_ = rows.groupBy("band").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("band", "n")
+    open_ = rows.groupBy("band").agg(F.count("*").alias("c"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("band", F.col("c").alias("members"))
     rows = scratch.save(spark, rows.join(open_, "band"), "line-rest")
-    x, y = (rows.where(f"n <= {SMALL}").select("band", F.col("id").alias(f"id{s}"), F.col("root").alias(f"root{s}")) for s in "xy")
-    pairs = x.join(y, "band").where("idx < idy and rootx <> rooty").select(*_pair("idx", "idy"))
-    many = scratch.save(spark, rows.where(f"n > {SMALL}").select("id", "root").distinct(), "line-many")
+    # Written first, so that Catalyst doesn't make the sets of all lines below the join.
+    texts = scratch.save(spark, firsts.select("id", "line").join(rows.select("id"), "id", "left_semi"), "line-rest-texts")
+    words = [f"b{k}" for k in range(_WORDS)]
+    described = scratch.save(spark, texts.mapInArrow(_describe, "id long, n long, " + ", ".join(f"{w} long" for w in words)), "line-described")
+    few = scratch.save(spark, rows.where(f"members <= {SMALL}").join(described, "id"), "line-few")
+    x, y = (few.select("band", *(F.col(c).alias(f"{c}{s}") for c in ("id", "root", "n", *words))) for s in "xy")
+    pairs = x.join(y, "band").where(F.expr("idx < idy and rootx <> rooty") & _may_be_similar(similarity)).select(*_pair("idx", "idy"))
+    many = scratch.save(spark, rows.where(f"members > {SMALL}").select("id", "root").distinct(), "line-many")
     if not many.isEmpty():
-        # Written first, so that Catalyst doesn't make the sets of all lines below the join.
-        texts = scratch.save(spark, firsts.select("id", "line").join(many.select("id"), "id", "left_semi"), "line-many-texts")
-        sets = texts.select("id", F.array_distinct(shingles(F.col("line"), VERIFY)).alias("s"))
-        tokens = scratch.save(spark, sets.select("id", F.size("s").alias("n"), F.explode("s").alias("token")), "line-shingles")
+        some = scratch.save(spark, texts.join(many.select("id"), "id", "left_semi"), "line-many-texts")
+        tokens = scratch.save(spark, some.mapInArrow(_tokens, "id long, token long"), "line-shingles")
         tokens = tokens.join(tokens.groupBy("token").agg(F.count("*").alias("c")), "token")
-        tokens = tokens.withColumn("at", F.row_number().over(Window.partitionBy("id").orderBy("c", "token")) - 1)
-        tokens = tokens.where(F.col("at") <= F.col("n") - F.ceil(similarity * F.col("n") - 1e-9)).join(many, "id")
-        tokens = scratch.save(spark, tokens.where("c > 1").withColumn("parts", F.ceil(F.col("c") / SALTED)), "line-prefixes")
-        side = lambda s, salt: tokens.select("token", salt.alias("salt"), *(F.col(c).alias(f"{c}{s}") for c in ("id", "root", "n", "at")))
-        near = side("x", F.pmod(F.xxhash64("id"), F.col("parts"))).join(side("y", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))), ["token", "salt"]).where("idx < idy and rootx <> rooty")
+        w = Window.partitionBy("id")
+        tokens = tokens.withColumns({"at": F.row_number().over(w.orderBy("c", "token")) - 1, "n": F.count("*").over(w)})
+        tokens = tokens.where(F.col("at") <= F.col("n") - F.ceil(similarity * F.col("n") - 1e-9)).where("c > 1").drop("n")
+        tokens = tokens.join(many.join(described, "id"), "id").withColumn("parts", F.ceil(F.col("c") / SALTED))
+        tokens = scratch.save(spark, tokens, "line-prefixes")
+        side = lambda s, salt: tokens.select("token", salt.alias("salt"), *(F.col(c).alias(f"{c}{s}") for c in ("id", "root", "n", "at", *words)))
         need = similarity / (1 + similarity) * (F.col("nx") + F.col("ny")) - 1e-9
-        pairs = pairs.union(near.where(F.least(F.col("nx") - F.col("atx"), F.col("ny") - F.col("aty")) >= need).select(*_pair("idx", "idy")))
+        near = side("x", F.pmod(F.xxhash64("id"), F.col("parts"))).join(side("y", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))), ["token", "salt"])
+        near = near.where(F.expr("idx < idy and rootx <> rooty") & (F.least(F.col("nx") - F.col("atx"), F.col("ny") - F.col("aty")) >= need) & _may_be_similar(similarity))
+        pairs = pairs.union(near.select(*_pair("idx", "idy")))
     return pairs.distinct()
 
 
@@ -151,14 +263,12 @@ def _verified(spark: SparkSession, firsts: DataFrame, pairs: DataFrame, similari
     texts = scratch.save(spark, firsts.select("id", "line").join(ids, "id", "left_semi"), "line-texts")
     x, y = texts.select(F.col("id").alias("a"), F.col("line").alias("x")), texts.select(F.col("id").alias("b"), F.col("line").alias("y"))
     both = pairs.join(x, "a").join(y, "b")
-    sets = both.select("a", "b", *(shingles(F.col(c), VERIFY).alias(c) for c in "xy"))
-    # The row number keeps Catalyst from moving the filter below the sets, where it would make them several times.
-    sets = sets.select("a", "b", F.size(F.array_intersect("x", "y")).alias("n"), F.size(F.array_union("x", "y")).alias("of"), F.monotonically_increasing_id().alias("_row"))
-    return scratch.save(spark, sets.where((F.col("_row") >= 0) & (F.col("n") >= similarity * F.col("of"))).select("a", "b"), "line-links")
+    return scratch.save(spark, both.mapInArrow(_compare(similarity), "a long, b long"), "line-links")
 
 
 def _found(spark: SparkSession, documents: DataFrame, similarity: float) -> DataFrame:
     """doc_id (not null), text_hash, line_no and h of each line that goes, with the place of the one that stays."""
+    scratch.bound_batches(spark)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     with scratch.scope(spark) as kept:
         to = kept(_keepers(spark, docs, similarity))

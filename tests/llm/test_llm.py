@@ -157,6 +157,41 @@ def test_line_dedup_pairs_all_that_share_a_band(spark, monkeypatch, small):
     assert got <= {(k + 1, k) for k in range(0, 600, 2)} and len(got) >= 0.98 * 300
 
 
+def test_line_kernels_agree_with_plain_sets():
+    rng, size = random.Random(31), line_dedup.VERIFY
+    texts = ["".join(rng.choices("abé漢 𝒳", k=rng.choice([1, 3, 4, 5, 6, 40, 300]))) for _ in range(300)] + ["a" * 500, "ab" * 400]
+    sets = [{t[i : i + size] for i in range(max(1, len(t) - size + 1))} for t in texts]
+    h, count = line_dedup.shingles(*textkernel.buffers(pa.array(texts)), size)
+    hashes = np.split(h, np.cumsum(count)[:-1])
+    of = {}
+    for t, x in zip(texts, hashes):
+        for i, v in enumerate(x.tolist()):
+            assert of.setdefault(t[i : i + size], v) == v
+    assert len(set(of.values())) == len(of) and [len(set(x.tolist())) for x in hashes] == [len(x) for x in sets]
+    # The parities of similar lines differ in no more classes than the bound of _may_be_similar allows.
+    described = next(line_dedup._describe([pa.record_batch({"id": pa.array(range(len(texts))), "line": pa.array(texts)})])).to_pylist()
+    for _ in range(3000):
+        i, j = rng.randrange(len(texts)), rng.randrange(len(texts))
+        other = sum(((r[f"b{k}"] ^ described[j][f"b{k}"]) & (2**64 - 1)).bit_count() for r in [described[i]] for k in range(8))
+        assert other <= len(sets[i] ^ sets[j]) and described[i]["n"] == len(sets[i])
+    pairs = [(i, j) for i in range(0, 300, 3) for j in range(0, 300, 7)]
+    batch = pa.record_batch({"a": pa.array([i for i, _ in pairs]), "b": pa.array([j for _, j in pairs]), "x": pa.array([texts[i] for i, _ in pairs]), "y": pa.array([texts[j] for _, j in pairs])})
+    got = {(r["a"], r["b"]) for out in line_dedup._compare(0.8)([batch]) for r in out.to_pylist()}
+    assert got == {(i, j) for i, j in pairs if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+
+
+def test_bands_are_the_least_hashes_whatever_the_slice():
+    rng = random.Random(32)
+    texts = ["".join(rng.choices("abcdefgh", k=rng.choice([2, 9, 10, 60, 2000]))) for _ in range(200)] + ["ab" * 300]
+    data, offsets = textkernel.buffers(pa.array(texts))
+    band, of = line_dedup.bands(data, offsets)
+    whole = [band[of == i].tolist() for i in range(len(texts))]
+    h, count = line_dedup.shingles(data, offsets, line_dedup.SHINGLE)
+    for i, x in enumerate(np.split(h >> np.uint64(64 - line_dedup._LOW), np.cumsum(count)[:-1])):
+        assert len(whole[i]) == min(len(set(x.tolist())), line_dedup.BANDS)
+        assert line_dedup.bands(data, offsets[i : i + 2])[0].tolist() == whole[i]
+
+
 # 2 ------------------------------------------------------------------------------------------------
 
 
