@@ -10,12 +10,12 @@ since column functions take three times the CPU for them (README).
 3. Each line is first paired with one other: the first of a band, the one that it meets in most of its bands. As long as this
    unites lines, and HUB_ROUNDS times at most, each group is then paired in the same way with each other group of which it
    meets a first line; only lines in different groups are paired, once.
-4. Each pair is verified once: Jaccard of the sets of all shingles of VERIFY characters at least `similarity`.
+4. Only pairs go on whose sets' parities, in BITS classes of shingles, differ in no more classes than the sets of a similar pair
+   can differ in shingles, which loses none. Each is verified once: Jaccard of the sets of all shingles of VERIFY characters at
+   least `similarity`.
 5. Contraction unites linked lines. Lines of one band that are still in different groups are then compared as well: all
    with all in bands of at most SMALL lines; lines of larger bands where they share one of the rare shingles that any
-   similar pair must share (prefix, length and positional filters). Of these pairs only those go on whose sets' parities, in
-   BITS classes of shingles, differ in no more classes than the sets of a similar pair can differ in shingles. No link within
-   a band is lost.
+   similar pair must share (prefix, length and positional filters). No link within a band is lost.
 6. Of each group the first line by (doc_id, hash of the text, line number) stays.
 
 No join has a hint: what is broadcast is for the session's threshold in bytes to say.
@@ -227,29 +227,29 @@ def _may_be_similar(similarity: float) -> Column:
     return sizes & (other <= (1 - similarity) / (1 + similarity) * (F.col("nx") + F.col("ny")) + 1e-9)
 
 
-def _rest(spark: SparkSession, firsts: DataFrame, met: DataFrame, groups: DataFrame, similarity: float) -> DataFrame:
+_DESCRIBED = ("n", *(f"b{k}" for k in range(_WORDS)))
+
+
+def _rest(spark: SparkSession, lines: Lines, met: DataFrame, groups: DataFrame, similarity: float) -> DataFrame:
     """Distinct pairs (a, b) of lines that share a band and are in different groups, but for those that can't be similar."""
     rows = met.select("id", "band").join(groups, "id", "left").withColumn("root", F.coalesce("root", "id"))
     open_ = rows.groupBy("band").agg(F.count("*").alias("c"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("band", F.col("c").alias("members"))
     rows = scratch.save(spark, rows.join(open_, "band"), "line-rest")
-    # Written first, so that Catalyst doesn't make the sets of all lines below the join.
-    texts = scratch.save(spark, firsts.select("id", "line").join(rows.select("id"), "id", "left_semi"), "line-rest-texts")
-    words = [f"b{k}" for k in range(_WORDS)]
-    described = scratch.save(spark, texts.mapInArrow(_describe, "id long, n long, " + ", ".join(f"{w} long" for w in words)), "line-described")
-    few = scratch.save(spark, rows.where(f"members <= {SMALL}").join(described, "id"), "line-few")
-    x, y = (few.select("band", *(F.col(c).alias(f"{c}{s}") for c in ("id", "root", "n", *words))) for s in "xy")
+    few = scratch.save(spark, rows.where(f"members <= {SMALL}").join(lines.described, "id"), "line-few")
+    x, y = (few.select("band", *(F.col(c).alias(f"{c}{s}") for c in ("id", "root", *_DESCRIBED))) for s in "xy")
     pairs = x.join(y, "band").where(F.expr("idx < idy and rootx <> rooty") & _may_be_similar(similarity)).select(*_pair("idx", "idy"))
     many = scratch.save(spark, rows.where(f"members > {SMALL}").select("id", "root").distinct(), "line-many")
     if not many.isEmpty():
-        some = scratch.save(spark, texts.join(many.select("id"), "id", "left_semi"), "line-many-texts")
+        # Written first, so that Catalyst doesn't make the sets of all lines below the join.
+        some = scratch.save(spark, lines.texts.join(many.select("id"), "id", "left_semi"), "line-many-texts")
         tokens = scratch.save(spark, some.mapInArrow(_tokens, "id long, token long"), "line-shingles")
         tokens = tokens.join(tokens.groupBy("token").agg(F.count("*").alias("c")), "token")
         w = Window.partitionBy("id")
         tokens = tokens.withColumns({"at": F.row_number().over(w.orderBy("c", "token")) - 1, "n": F.count("*").over(w)})
         tokens = tokens.where(F.col("at") <= F.col("n") - F.ceil(similarity * F.col("n") - 1e-9)).where("c > 1").drop("n")
-        tokens = tokens.join(many.join(described, "id"), "id").withColumn("parts", F.ceil(F.col("c") / SALTED))
+        tokens = tokens.join(many.join(lines.described, "id"), "id").withColumn("parts", F.ceil(F.col("c") / SALTED))
         tokens = scratch.save(spark, tokens, "line-prefixes")
-        side = lambda s, salt: tokens.select("token", salt.alias("salt"), *(F.col(c).alias(f"{c}{s}") for c in ("id", "root", "n", "at", *words)))
+        side = lambda s, salt: tokens.select("token", salt.alias("salt"), *(F.col(c).alias(f"{c}{s}") for c in ("id", "root", "at", *_DESCRIBED)))
         need = similarity / (1 + similarity) * (F.col("nx") + F.col("ny")) - 1e-9
         near = side("x", F.pmod(F.xxhash64("id"), F.col("parts"))).join(side("y", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))), ["token", "salt"])
         near = near.where(F.expr("idx < idy and rootx <> rooty") & (F.least(F.col("nx") - F.col("atx"), F.col("ny") - F.col("aty")) >= need) & _may_be_similar(similarity))
@@ -257,13 +257,25 @@ def _rest(spark: SparkSession, firsts: DataFrame, met: DataFrame, groups: DataFr
     return pairs.distinct()
 
 
-def _verified(spark: SparkSession, firsts: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
-    """The pairs whose lines are similar."""
+class Lines:
+    """The lines that meet others: their texts, and the sizes and parities of their sets."""
+
+    def __init__(self, spark: SparkSession, firsts: DataFrame, met: DataFrame):
+        self.texts = scratch.save(spark, firsts.select("id", "line").join(met.select("id"), "id", "left_semi"), "line-texts")
+        self.described = scratch.save(spark, self.texts.mapInArrow(_describe, "id long, " + ", ".join(f"{c} long" for c in _DESCRIBED)), "line-described")
+
+    def likely(self, pairs: DataFrame, similarity: float) -> DataFrame:
+        """The pairs that may be similar."""
+        x, y = (self.described.select(F.col("id").alias(end), *(F.col(c).alias(f"{c}{s}") for c in _DESCRIBED)) for end, s in (("a", "x"), ("b", "y")))
+        return pairs.join(x, "a").join(y, "b").where(_may_be_similar(similarity)).select("a", "b")
+
+
+def _verified(spark: SparkSession, lines: Lines, pairs: DataFrame, similarity: float) -> DataFrame:
+    """The pairs whose lines are similar. pairs: a written table."""
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    texts = scratch.save(spark, firsts.select("id", "line").join(ids, "id", "left_semi"), "line-texts")
+    texts = scratch.save(spark, lines.texts.join(ids, "id", "left_semi"), "line-pair-texts")
     x, y = texts.select(F.col("id").alias("a"), F.col("line").alias("x")), texts.select(F.col("id").alias("b"), F.col("line").alias("y"))
-    both = pairs.join(x, "a").join(y, "b")
-    return scratch.save(spark, both.mapInArrow(_compare(similarity), "a long, b long"), "line-links")
+    return scratch.save(spark, pairs.join(x, "a").join(y, "b").mapInArrow(_compare(similarity), "a long, b long"), "line-links")
 
 
 def _found(spark: SparkSession, documents: DataFrame, similarity: float) -> DataFrame:
@@ -293,23 +305,27 @@ def _keepers(spark: SparkSession, docs: DataFrame, similarity: float) -> DataFra
     scratch.release(spark)
     met = scratch.save(spark, _meetings(firsts), "line-meetings")
     scratch.release(spark)
+    lines = Lines(spark, firsts, met)
+    scratch.release(spark)
+    checked = lambda some: _verified(spark, lines, scratch.save(spark, lines.likely(some, similarity), "line-likely"), similarity)
     pairs = scratch.save(spark, _candidates(met), "line-pairs")
-    links = _verified(spark, firsts, pairs, similarity)
+    links = checked(pairs)
     groups = connected_components(spark, links, "lines")
     for _ in range(HUB_ROUNDS - 1):
         more = scratch.save(spark, _more_candidates(met, groups, pairs), "line-more-pairs")
         if more.isEmpty():
             break
-        found = _verified(spark, firsts, more, similarity)
+        found = checked(more)
+        scratch.release(spark)
         pairs = pairs.union(more)
         if found.isEmpty():
             break
         links = links.union(found)
         groups = connected_components(spark, links, "lines")
-    rest = scratch.save(spark, _rest(spark, firsts, met, groups, similarity).join(pairs, ["a", "b"], "left_anti"), "line-rest-pairs")
+    rest = scratch.save(spark, _rest(spark, lines, met, groups, similarity).join(pairs, ["a", "b"], "left_anti"), "line-rest-pairs")
     scratch.release(spark)
     if not rest.isEmpty():
-        groups = connected_components(spark, links.union(_verified(spark, firsts, rest, similarity)), "lines-all")
+        groups = connected_components(spark, links.union(_verified(spark, lines, rest, similarity)), "lines-all")
     named = firsts.select("id", *_hashes(), "place", "n").join(groups, "id", "left")
     several = named.where("n > 1 or root is not null").withColumn("root", F.coalesce("root", "id"))
     keeper = several.groupBy("root").agg(F.min("place").alias("keep"))
