@@ -2,7 +2,7 @@
 
 Lines are compared without white space at their ends and in lower case; lines without other characters are left alone. Lines
 are found, counted, paired and united by column functions; hashes of shingles and sets of them are numpy's on Arrow batches,
-since column functions take three times the CPU for them (README).
+since the form in column functions only was far beyond its CPU budget (figures in the README).
 
 1. Equal lines become one, by their text, with their first place and count; it is numbered and written.
 2. Each gives hashes of all its runs of SHINGLE characters. In their order, which is the same for all lines, each three in
