@@ -53,6 +53,10 @@ _WORDS = BITS // 64
 #: Bits of a hash beside the number of its line or pair in one sortable number.
 _LOW = 40
 _SET_LOW, _SET_PAIRS = 52, 4096
+#: Bytes of lines that are hashed at once: what numpy holds of them stays in a core's cache.
+SLICE = 200_000
+#: Random values of the characters of the basic plane; others are mixed as they come.
+CHAR_VALUE = mix(np.arange(1, 65537, dtype=np.uint64))
 
 
 def normal(line: Column) -> Column:
@@ -65,6 +69,18 @@ def normal(line: Column) -> Column:
     return F.lower(F.when(other, F.btrim(line, F.lit(WHITE))).otherwise(t))
 
 
+def _polynomial(v: np.ndarray, size: int) -> np.ndarray:
+    """Of each run of so many values, their sum times falling powers of BASE; runs grow by doubling and by one."""
+    total, have = v, 1
+    for bit in f"{size:b}"[1:]:
+        total = total[:-have] * np.uint64(pow(int(BASE), have, 2**64)) + total[have:]
+        have *= 2
+        if bit == "1":
+            total = total[:-1] * BASE + v[have:]
+            have += 1
+    return total
+
+
 def shingles(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all shingles of so many characters, with repetitions, line after line, and how many each line has; a shorter
     line is one."""
@@ -74,43 +90,41 @@ def shingles(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarr
     length = np.diff(begin)
     room = np.maximum(length, size)
     first = np.cumsum(room) - room
-    v = np.zeros(int(room.sum()), np.uint64)
-    v[np.arange(len(chars)) + np.repeat(first - begin[:-1], length)] = mix(chars.astype(np.uint64) + np.uint64(1))
-    total = np.zeros(max(0, len(v) - size + 1), np.uint64)
-    for k in range(size):
-        total *= BASE
-        total += v[k : k + len(total)]
-    count = room - size + 1
-    at = np.arange(int(count.sum())) + np.repeat(first - (np.cumsum(count) - count), count)
-    return mix(total[at]), count
+    v = CHAR_VALUE[chars] if not len(chars) or chars.max() < len(CHAR_VALUE) else mix(chars.astype(np.uint64) + np.uint64(1))
+    if (room != length).any():
+        wide = np.zeros(int(room.sum()), np.uint64)
+        wide[np.arange(len(chars)) + np.repeat(first - begin[:-1], length)] = v
+        v = wide
+    total = _polynomial(v, size)
+    whole = np.ones(len(total), bool)  # but for runs that reach into the next line
+    for k in range(1, size):
+        whole[first[1:] - k] = False
+    return mix(total[whole]), room - size + 1
 
 
 def bands(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The bands of the lines of one slice, and each band's line."""
     h, count = shingles(data, offsets, SHINGLE)
-    low, line, wide = h >> np.uint64(64 - _LOW), np.repeat(np.arange(len(count)), count), BANDS + 2
+    low, line, wide = h >> np.uint64(64 - _LOW), np.repeat(np.arange(len(count), dtype=np.uint64), count), BANDS + 2
 
     def least(some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        key = np.sort((line[some].astype(np.uint64) << np.uint64(_LOW)) | low[some])
+        key = np.sort((line[some] << np.uint64(_LOW)) | low[some])
         key = key[np.concatenate([[True], key[1:] != key[:-1]])] if len(key) else key
         return key, np.bincount((key >> np.uint64(_LOW)).astype(np.int64), minlength=len(count))
 
     # The least distinct hashes are among those below a bound, unless these repeat each other or are few by chance.
-    bound = np.minimum(4.0 * wide / np.maximum(count, 1), 1.0) * 2.0**_LOW
-    key, n = least(low < bound[line])
-    if (few := (n < wide) & (count > 4 * wide)).any():
-        key, n = least((low < bound[line]) | few[line])
-    size, first, low_bits = np.minimum(n, wide), np.cumsum(n) - n, np.uint64(2**_LOW - 1)
-    out, of = [], []
-    for i in range(BANDS):
-        sel = np.flatnonzero(size > i)
-        three = (key[first[sel] + (i + j) % size[sel]] & low_bits for j in range(3))
-        band = np.zeros(len(sel), np.uint64)
-        for x in three:
-            band = mix(band * BASE + x)
-        out.append(band)
-        of.append(sel)
-    return np.concatenate(out), np.concatenate(of)
+    bound = (np.minimum(3.0 * wide / np.maximum(count, 1), 1.0) * 2.0**_LOW).astype(np.uint64)
+    below = low < np.repeat(bound, count)
+    key, n = least(below)
+    if (few := (n < wide) & (count > 3 * wide)).any():
+        key, n = least(below | np.repeat(few, count))
+    size, first, low_bits = np.minimum(n, wide)[:, None], (np.cumsum(n) - n)[:, None], np.uint64(2**_LOW - 1)
+    at = np.arange(BANDS)
+    band = np.zeros((len(count), BANDS), np.uint64)
+    for j in range(3):
+        band = mix(band * BASE + (key[first + (at + j) % size] & low_bits))
+    has = at < size
+    return band[has], np.nonzero(has)[0]
 
 
 def _distinct(h: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -122,7 +136,7 @@ def _distinct(h: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 def _few(offsets: np.ndarray):
     """Ranges of rows of a slice, and of at most _SET_PAIRS."""
-    for i, j in slices(offsets):
+    for i, j in slices(offsets, SLICE):
         for k in range(i, j, _SET_PAIRS):
             yield k, min(j, k + _SET_PAIRS)
 
@@ -131,7 +145,7 @@ def _sign(batches):
     for b in batches:
         data, offsets = buffers(b.column("line"))
         ids = b.column("id").to_numpy(zero_copy_only=False)
-        for i, j in slices(offsets):
+        for i, j in slices(offsets, SLICE):
             band, of = bands(data, offsets[i : j + 1])
             yield pa.record_batch({"id": pa.array(ids[i:j][of]), "band": pa.array(band.view(np.int64))})
 

@@ -55,11 +55,11 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets
 
 
-def slices(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Ranges of rows of about SLICE_BYTES each."""
+def slices(offsets: np.ndarray, size: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of about so many bytes each."""
     i, n = 0, len(offsets) - 1
     while i < n:
-        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + SLICE_BYTES, "right")) - 1)
+        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + size, "right")) - 1)
         yield i, min(j, n)
         i = min(j, n)
 
