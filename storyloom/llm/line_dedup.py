@@ -186,13 +186,18 @@ def _tokens(batches):
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """doc_id (not null), text_hash, line_no, line (normal, not empty) and place: the three in one number, so that aggregates over it
-    stay in their hash map."""
-    rows = docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc_id"), F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    rows = rows.withColumn("line", normal(F.col("line"))).where("line <> ''")
+    """doc_id (not null), text_hash, line_no and line (normal, not empty). The text's hash is made below the lines: above them
+    it would be made once a line, of the whole text."""
+    rows = docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
+    rows = rows.select("doc_id", "text_hash", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    return rows.withColumn("line", normal(F.col("line"))).where("line <> ''")
+
+
+def _place() -> Column:
+    """Doc_id, text_hash and line_no of a line in one number, so that aggregates over it stay in their hash map."""
     low = F.shiftleft(F.col("text_hash").bitwiseAND(TEXT_SPAN - 1), 32) + F.col("line_no")
     place = F.col("doc_id").cast("decimal(20,0)") * F.lit(TEXT_SPAN << 32).cast("decimal(18,0)") + low.cast("decimal(18,0)")
-    return rows.withColumn("place", place.cast("decimal(38,0)"))
+    return place.cast("decimal(38,0)")
 
 
 def _hashes() -> list[Column]:
@@ -299,8 +304,8 @@ def _found(spark: SparkSession, documents: DataFrame, similarity: float) -> Data
     with scratch.scope(spark) as kept:
         to = kept(_keepers(spark, docs, similarity))
     scratch.release(spark)
-    met = _lines(docs).select("doc_id", "text_hash", "line_no", "place", *_hashes()).join(to, ["h", "g"])
-    return met.where("place <> keep").select("doc_id", "text_hash", "line_no", "h", "keep")
+    met = _lines(docs).select("doc_id", "text_hash", "line_no", *_hashes()).join(to, ["h", "g"])
+    return met.where(_place() != F.col("keep")).select("doc_id", "text_hash", "line_no", "h", "keep")
 
 
 def find(spark: SparkSession, documents: DataFrame, similarity: float = 0.8) -> DataFrame:
@@ -314,7 +319,7 @@ def find(spark: SparkSession, documents: DataFrame, similarity: float = 0.8) ->
 
 def _keepers(spark: SparkSession, docs: DataFrame, similarity: float) -> DataFrame:
     """(h, g, keep) of the lines that occur more than once or are linked; keep: the place of the one that stays."""
-    firsts = _lines(docs).groupBy("line").agg(F.min("place").alias("place"), F.count("*").alias("n"))
+    firsts = _lines(docs).groupBy("line").agg(F.min(_place()).alias("place"), F.count("*").alias("n"))
     firsts = scratch.save(spark, firsts.select(F.monotonically_increasing_id().alias("id"), "line", "place", "n"), "lines")
     scratch.release(spark)
     met = scratch.save(spark, _meetings(firsts), "line-meetings")
