@@ -150,6 +150,25 @@ def _sign(batches):
             yield pa.record_batch({"id": pa.array(ids[i:j][of]), "band": pa.array(band.view(np.int64))})
 
 
+def _meet(batches):
+    """id, band, hub of the lines that aren't alone in their band; rows come sorted by band and id. A row waits for the next
+    one, which may be in the next batch."""
+    out = lambda i, b, h, some: pa.record_batch({"id": pa.array(i[some]), "band": pa.array(b[some]), "hub": pa.array(h[some])})
+    none = np.zeros(0, np.int64)
+    last = (none, none, none)
+    for batch in batches:
+        ids, band = (np.concatenate([x, batch.column(c).to_numpy(zero_copy_only=False)]) for c, x in zip(("id", "band"), last, strict=False))
+        if not len(ids):
+            continue
+        begins = np.concatenate([[True], band[1:] != band[:-1]])
+        hub = ids[begins][np.cumsum(begins) - 1]
+        if len(last[2]):
+            hub[: int(np.argmax(begins[1:])) + 1 if begins[1:].any() else len(hub)] = last[2][0]
+        yield out(ids, band, hub, np.flatnonzero((hub[:-1] != ids[:-1]) | ~begins[1:]))
+        last = ids[-1:], band[-1:], hub[-1:]
+    yield out(*last, last[2] != last[0])
+
+
 def _compare(similarity: float):
     def run(batches):
         for b in batches:
@@ -186,11 +205,11 @@ def _tokens(batches):
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """doc_id (not null), text_hash, line_no and line (normal, not empty). The text's hash is made below the lines: above them
-    it would be made once a line, of the whole text."""
+    """doc_id (not null), text_hash, line_no and line (normal; empty ones too, since a filter here would make each line's normal
+    form twice). The text's hash is made below the lines: above them it would be made once a line, of the whole text."""
     rows = docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
     rows = rows.select("doc_id", "text_hash", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    return rows.withColumn("line", normal(F.col("line"))).where("line <> ''")
+    return rows.withColumn("line", normal(F.col("line")))
 
 
 def _place() -> Column:
@@ -212,9 +231,7 @@ def _bands(firsts: DataFrame) -> DataFrame:
 
 def _meetings(firsts: DataFrame) -> DataFrame:
     """(id, band, hub) of the lines that share a band with others; hub: the first of them."""
-    w = Window.partitionBy("band").orderBy("id")
-    met = _bands(firsts).select("id", "band", F.first("id").over(w).alias("hub"), F.lead("id").over(w).alias("next"))
-    return met.where("hub <> id or next is not null").drop("next")
+    return _bands(firsts).repartition("band").sortWithinPartitions("band", "id").mapInArrow(_meet, "id long, band long, hub long")
 
 
 def _pair(a: str, b: str) -> list[Column]:
@@ -320,7 +337,7 @@ def find(spark: SparkSession, documents: DataFrame, similarity: float = 0.8) ->
 def _keepers(spark: SparkSession, docs: DataFrame, similarity: float) -> DataFrame:
     """(h, g, keep) of the lines that occur more than once or are linked; keep: the place of the one that stays."""
     firsts = _lines(docs).groupBy("line").agg(F.min(_place()).alias("place"), F.count("*").alias("n"))
-    firsts = scratch.save(spark, firsts.select(F.monotonically_increasing_id().alias("id"), "line", "place", "n"), "lines")
+    firsts = scratch.save(spark, firsts.select(F.monotonically_increasing_id().alias("id"), "line", "place", "n").where("line <> ''"), "lines")
     scratch.release(spark)
     met = scratch.save(spark, _meetings(firsts), "line-meetings")
     scratch.release(spark)
