@@ -1,7 +1,7 @@
 """Fuzzy line dedup: MinHash signatures of character shingles, banding, exact Jaccard verification, union-find.
 
 Lines are compared without white space at their ends and in lower case; lines without other characters are left alone. Lines
-are found, counted, paired and united by column functions; hashes of shingles and sets of them are numpy's on Arrow batches,
+are found, counted, paired and united by column functions; hashes of shingles, sets of them and meetings in bands are numpy's on Arrow batches,
 since the form in column functions only was far beyond its CPU budget (figures in the README).
 
 1. Equal lines become one, by their text, with their first place and count; it is numbered and written.
