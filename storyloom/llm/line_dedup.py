@@ -4,7 +4,8 @@ Lines are compared without white space at their ends and in lower case; lines wi
 are found, counted, paired and united by column functions; hashes of shingles, sets of them and meetings in bands are numpy's on Arrow batches,
 since the form in column functions only was far beyond its CPU budget (figures in the README).
 
-1. Equal lines become one, by their text, with their first place and count; it is numbered and written.
+1. Equal lines become one, by 128 bits of hashes, with their first place and count; these are written, texts are not. From here on a
+   line is named by 64 bits; of different lines with one name, if chance brings that about, one is paired and the others stay.
 2. Each gives hashes of all its runs of SHINGLE characters. In their order, which is the same for all lines, each three in
    a row make a band, BANDS at most: lines whose least hashes agree in a row of three meet.
 3. Each line is first paired with one other: the first of a band, the one that it meets in most of its bands. As long as this
@@ -14,8 +15,8 @@ since the form in column functions only was far beyond its CPU budget (figures i
    can differ in shingles, which loses none. Each is verified once: Jaccard of the sets of all shingles of VERIFY characters at
    least `similarity`.
 5. Contraction unites linked lines. Lines of one band that are still in different groups are then compared as well: all
-   with all in bands of at most SMALL lines; lines of larger bands where they share one of the rare shingles that any
-   similar pair must share (prefix, length and positional filters). No link within a band is lost.
+   with all in bands of at most MIDDLE lines, once for each pair; lines of larger bands where they share one of the rare shingles
+   that any similar pair must share (prefix, length and positional filters). No link within a band is lost.
 6. Of each group the first line by (doc_id, hash of the text, line number) stays.
 
 No join has a hint: what is broadcast is for the session's threshold in bytes to say.
@@ -29,12 +30,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from storyloom.llm import scratch
 from storyloom.llm.components import connected_components
-from storyloom.llm.textkernel import BASE, buffers, mix, slices
+from storyloom.llm.textkernel import BASE, buffers, merge_tables, mix, slices, table_parts
 
 SHINGLE, VERIFY, BANDS = 8, 5, 12
 WHITE = " \t\n\x0b\x0c\r"
@@ -42,8 +44,10 @@ WHITE = " \t\n\x0b\x0c\r"
 NULL_ID = -(2**63)
 #: Hashes of texts, as far as they tell rows of one doc_id apart in a line's place.
 TEXT_SPAN = 1 << 26
-#: A band of at most so many lines gives all pairs that are in different groups.
-SMALL = 64
+#: A band of at most so many lines gives all pairs that are in different groups; one of up to MIDDLE those that share no lesser such band.
+SMALL, MIDDLE = 64, 2048
+#: Bits of the table that tells which lines may meet others.
+MARKS = 1 << 26
 #: Rounds of pairs with the first lines of bands, before all lines that share a band are compared.
 HUB_ROUNDS = 4
 #: Lines with one shingle that meet in one task.
@@ -141,18 +145,29 @@ def _few(offsets: np.ndarray):
             yield k, min(j, k + _SET_PAIRS)
 
 
+def _once(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Of the rows h, g, line one for each line that has characters."""
+    h, g = (batch.column(c).to_numpy(zero_copy_only=False) for c in "hg")
+    order = np.lexsort((g, h))
+    h, g = h[order], g[order]
+    first = np.ones(len(order), bool)
+    first[1:] = (h[1:] != h[:-1]) | (g[1:] != g[:-1])
+    batch = batch.take(pa.array(np.sort(order[first])))
+    return batch.filter(pc.greater(pc.binary_length(batch.column("line")), 0))
+
+
 def _sign(batches):
-    for b in batches:
+    for b in map(_once, batches):
         data, offsets = buffers(b.column("line"))
-        ids = b.column("id").to_numpy(zero_copy_only=False)
+        ids = b.column("h").to_numpy(zero_copy_only=False)
         for i, j in slices(offsets, SLICE):
             band, of = bands(data, offsets[i : j + 1])
             yield pa.record_batch({"id": pa.array(ids[i:j][of]), "band": pa.array(band.view(np.int64))})
 
 
 def _meet(batches):
-    """id, band, hub of the lines that aren't alone in their band; rows come sorted by band and id. A row waits for the next
-    one, which may be in the next batch."""
+    """id, band, hub of the lines that aren't alone in their band; rows come sorted by band and id, and some
+    repeat. A row waits for the next one, which may be in the next batch."""
     out = lambda i, b, h, some: pa.record_batch({"id": pa.array(i[some]), "band": pa.array(b[some]), "hub": pa.array(h[some])})
     none = np.zeros(0, np.int64)
     last = (none, none, none)
@@ -160,6 +175,8 @@ def _meet(batches):
         ids, band = (np.concatenate([x, batch.column(c).to_numpy(zero_copy_only=False)]) for c, x in zip(("id", "band"), last, strict=False))
         if not len(ids):
             continue
+        new = np.concatenate([[True], (band[1:] != band[:-1]) | (ids[1:] != ids[:-1])])
+        ids, band = ids[new], band[new]
         begins = np.concatenate([[True], band[1:] != band[:-1]])
         hub = ids[begins][np.cumsum(begins) - 1]
         if len(last[2]):
@@ -221,17 +238,17 @@ def _place() -> Column:
 
 def _hashes() -> list[Column]:
     """128 bits of a line."""
-    return [F.xxhash64("line").alias("h"), F.xxhash64("line", F.lit(7)).alias("g")]
+    return [F.xxhash64("line").alias("h"), F.xxhash64(F.lit(7), "line").alias("g")]
 
 
-def _bands(firsts: DataFrame) -> DataFrame:
-    """(id, band) of each line."""
-    return firsts.select("id", "line").mapInArrow(_sign, "id long, band long")
+def _bands(lines: DataFrame) -> DataFrame:
+    """(id, band) of each line (h, g, line); some repeat."""
+    return lines.mapInArrow(_sign, "id long, band long")
 
 
-def _meetings(firsts: DataFrame) -> DataFrame:
+def _meetings(lines: DataFrame) -> DataFrame:
     """(id, band, hub) of the lines that share a band with others; hub: the first of them."""
-    return _bands(firsts).repartition("band").sortWithinPartitions("band", "id").mapInArrow(_meet, "id long, band long, hub long")
+    return _bands(lines).repartition("band").sortWithinPartitions("band", "id").mapInArrow(_meet, "id long, band long, hub long")
 
 
 def _pair(a: str, b: str) -> list[Column]:
@@ -274,11 +291,17 @@ def _rest(spark: SparkSession, lines: Lines, met: DataFrame, groups: DataFrame,
     few = scratch.save(spark, rows.where(f"members <= {SMALL}").join(lines.described, "id"), "line-few")
     x, y = (few.select("band", *(F.col(c).alias(f"{c}{s}") for c in ("id", "root", *_DESCRIBED))) for s in "xy")
     pairs = x.join(y, "band").where(F.expr("idx < idy and rootx <> rooty") & _may_be_similar(similarity)).select(*_pair("idx", "idy"))
-    many = scratch.save(spark, rows.where(f"members > {SMALL}").select("id", "root").distinct(), "line-many")
+    some = rows.where(f"members > {SMALL} and members <= {MIDDLE}").select("id", "band", "root")
+    some = some.join(some.groupBy("id").agg(F.collect_list("band").alias("bands")), "id").join(lines.described, "id")
+    some = scratch.save(spark, some, "line-some")
+    x, y = (some.select("band", *(F.col(c).alias(f"{c}{s}") for c in ("id", "root", "bands", *_DESCRIBED))) for s in "xy")
+    near = x.join(y, "band").where(F.expr("idx < idy and rootx <> rooty") & _may_be_similar(similarity) & F.expr("band = array_min(array_intersect(bandsx, bandsy))"))
+    pairs = pairs.union(near.select(*_pair("idx", "idy")))
+    many = scratch.save(spark, rows.where(f"members > {MIDDLE}").select("id", "root").distinct(), "line-many")
     if not many.isEmpty():
         # Written first, so that Catalyst doesn't make the sets of all lines below the join.
         some = scratch.save(spark, lines.texts.join(many.select("id"), "id", "left_semi"), "line-many-texts")
-        tokens = scratch.save(spark, some.mapInArrow(_tokens, "id long, token long"), "line-shingles")
+        tokens = scratch.save(spark, some.select("id", "line").mapInArrow(_tokens, "id long, token long"), "line-shingles")
         tokens = tokens.join(tokens.groupBy("token").agg(F.count("*").alias("c")), "token")
         w = Window.partitionBy("id")
         tokens = tokens.withColumns({"at": F.row_number().over(w.orderBy("c", "token")) - 1, "n": F.count("*").over(w)})
@@ -293,12 +316,36 @@ def _rest(spark: SparkSession, lines: Lines, met: DataFrame, groups: DataFrame,
     return pairs.distinct()
 
 
+def _marked(spark: SparkSession, lines: DataFrame, met: DataFrame) -> DataFrame:
+    """All lines (h, g, line) that meet others, and few that don't: a table of fixed size tells most of these apart, so that their
+    texts aren't shuffled."""
+
+    def mark(batches):
+        table = np.zeros(MARKS // 8, np.uint8)
+        for b in batches:
+            h = b.column("id").to_numpy(zero_copy_only=False)
+            np.bitwise_or.at(table, (h >> 3) & (MARKS // 8 - 1), np.uint8(1) << (h & 7).astype(np.uint8))
+        yield table_parts(table)
+
+    table = merge_tables(met.select("id").mapInArrow(mark, "part int, cells binary"), np.uint8, np.bitwise_or)
+    marks = spark.sparkContext.broadcast(table if len(table) else np.zeros(MARKS // 8, np.uint8))
+
+    def run(batches):
+        for b in map(_once, batches):
+            h = b.column("h").to_numpy(zero_copy_only=False)
+            yield b.filter(pa.array((marks.value[(h >> 3) & (MARKS // 8 - 1)] >> (h & 7).astype(np.uint8)) & 1 == 1))
+
+    return lines.mapInArrow(run, "h long, g long, line string")
+
+
 class Lines:
     """The lines that meet others: their texts, and the sizes and parities of their sets."""
 
-    def __init__(self, spark: SparkSession, firsts: DataFrame, met: DataFrame):
-        self.texts = scratch.save(spark, firsts.select("id", "line").join(met.select("id"), "id", "left_semi"), "line-texts")
-        self.described = scratch.save(spark, self.texts.mapInArrow(_describe, "id long, " + ", ".join(f"{c} long" for c in _DESCRIBED)), "line-described")
+    def __init__(self, spark: SparkSession, lines: DataFrame, met: DataFrame):
+        texts = _marked(spark, lines, met).join(met.select(F.col("id").alias("h")), "h", "left_semi")
+        texts = texts.groupBy("h").agg(F.min(F.struct("g", "line")).alias("t")).select(F.col("h").alias("id"), "t.g", "t.line")
+        self.texts = scratch.save(spark, texts, "line-texts")
+        self.described = scratch.save(spark, self.texts.select("id", "line").mapInArrow(_describe, "id long, " + ", ".join(f"{c} long" for c in _DESCRIBED)), "line-described")
 
     def likely(self, pairs: DataFrame, similarity: float) -> DataFrame:
         """The pairs that may be similar."""
@@ -336,12 +383,13 @@ def find(spark: SparkSession, documents: DataFrame, similarity: float = 0.8) ->
 
 def _keepers(spark: SparkSession, docs: DataFrame, similarity: float) -> DataFrame:
     """(h, g, keep) of the lines that occur more than once or are linked; keep: the place of the one that stays."""
-    firsts = _lines(docs).groupBy("line").agg(F.min(_place()).alias("place"), F.count("*").alias("n"))
-    firsts = scratch.save(spark, firsts.select(F.monotonically_increasing_id().alias("id"), "line", "place", "n").where("line <> ''"), "lines")
+    firsts = _lines(docs).select(*_hashes(), _place().alias("place")).groupBy("h", "g").agg(F.min("place").alias("place"), F.count("*").alias("n"))
+    firsts = scratch.save(spark, firsts, "lines")
     scratch.release(spark)
-    met = scratch.save(spark, _meetings(firsts), "line-meetings")
+    all_lines = _lines(docs).select(*_hashes(), "line")
+    met = scratch.save(spark, _meetings(all_lines), "line-meetings")
     scratch.release(spark)
-    lines = Lines(spark, firsts, met)
+    lines = Lines(spark, all_lines, met)
     scratch.release(spark)
     checked = lambda some: _verified(spark, lines, scratch.save(spark, lines.likely(some, similarity), "line-likely"), similarity)
     pairs = scratch.save(spark, _candidates(met), "line-pairs")
@@ -362,10 +410,12 @@ def _keepers(spark: SparkSession, docs: DataFrame, similarity: float) -> DataFra
     scratch.release(spark)
     if not rest.isEmpty():
         groups = connected_components(spark, links.union(_verified(spark, lines, rest, similarity)), "lines-all")
-    named = firsts.select("id", *_hashes(), "place", "n").join(groups, "id", "left")
-    several = named.where("n > 1 or root is not null").withColumn("root", F.coalesce("root", "id"))
-    keeper = several.groupBy("root").agg(F.min("place").alias("keep"))
-    return scratch.save(spark, several.join(keeper, "root").select("h", "g", "keep"), "line-keepers")
+    named = lines.texts.select(F.col("id").alias("h"), "g").join(groups.withColumnRenamed("id", "h"), "h")
+    blank = (F.col("h") == F.xxhash64(F.lit(""))) & (F.col("g") == F.xxhash64(F.lit(7), F.lit("")))
+    several = scratch.save(spark, firsts.join(named, ["h", "g"], "left").where("n > 1 or root is not null").where(~blank), "line-several")
+    keeper = several.where("root is not null").groupBy("root").agg(F.min("place").alias("keep"))
+    alone = several.where("root is null").select("h", "g", F.col("place").alias("keep"))
+    return scratch.save(spark, several.join(keeper, "root").select("h", "g", "keep").union(alone), "line-keepers")
 
 
 def drop_lines(spark: SparkSession, documents: DataFrame, similarity: float = 0.8) -> DataFrame:

@@ -157,6 +157,46 @@ def test_line_dedup_pairs_all_that_share_a_band(spark, monkeypatch, small):
     assert got <= {(k + 1, k) for k in range(0, 600, 2)} and len(got) >= 0.98 * 300
 
 
+@pytest.mark.parametrize("middle", [2048, 4])
+def test_line_dedup_pairs_all_of_larger_bands(spark, monkeypatch, middle):
+    monkeypatch.setattr(line_dedup, "SMALL", 4)
+    monkeypatch.setattr(line_dedup, "MIDDLE", middle)
+    rng, word = random.Random(13), lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6))
+    common, rows = " ".join(word() for _ in range(50)), []
+    for k in range(0, 600, 2):
+        own = [word() for _ in range(10)]
+        rows += [(k, f"{common} {' '.join(own)}"), (k + 1, f"{common} {' '.join([word() for _ in range(3)] + own[3:])}")]
+    got = {(r["doc_id"], r["keep_doc_id"]) for r in line_dedup.find(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got <= {(k + 1, k) for k in range(0, 600, 2)} and len(got) >= 0.98 * 300
+
+
+def test_line_dedup_tells_lines_of_one_hash_apart(spark):
+    one, two = (
+        "w=(bmf})the first of two lines, 5=,c}^'~which one hash can't tel",
+        "46m@_u<ethe first of two lines, 0#g0%r`owhich one hash can't tel",
+    )
+    docs = spark.createDataFrame([(1, one), (2, one), (3, two)], "doc_id long, text string")
+    hashes = docs.select("text").distinct().selectExpr("xxhash64(text)").collect()
+    assert len(hashes) == 2 and hashes[0] == hashes[1]
+    assert {(r["doc_id"], r["keep_doc_id"]) for r in line_dedup.find(spark, docs).collect()} == {(2, 1)}
+
+
+def test_line_dedup_shuffles_no_texts(spark):
+    rng = random.Random(14)
+    rows = [(k, "".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=2000))) for k in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    docs = scratch.save(spark, docs, "docs")
+    store, none = spark._jvm.org.apache.spark.SparkContext.getOrCreate().statusStore(), spark._sc._gateway.new_array(spark._jvm.double, 0)
+
+    def shuffled():
+        stages = store.stageList(None, False, False, none, None)
+        return {stages.apply(k).stageId(): stages.apply(k).shuffleWriteBytes() for k in range(stages.size())}
+
+    before = set(shuffled())
+    assert line_dedup.find(spark, docs).count() == 0
+    assert sum(n for k, n in shuffled().items() if k not in before) < 0.5 * 2_000_000
+
+
 def test_line_kernels_agree_with_plain_sets():
     rng, size = random.Random(31), line_dedup.VERIFY
     texts = ["".join(rng.choices("abé漢 𝒳", k=rng.choice([1, 3, 4, 5, 6, 40, 300]))) for _ in range(300)] + ["a" * 500, "ab" * 400]
