@@ -8,7 +8,10 @@ is within `rate` edits a byte of the whole item.
    tells it, in words and in bytes. Anchors are pairs of words up to GAPS apart: of a segment's pairs, all that chance would
    seldom bring about by the words' counts in all documents, and in any case its LEAST rarest. Items of fewer than SHORT
    words are anchored by single words, the rarest, so many that as many edits as are allowed leave one of them whole if
-   there are that many.
+   there are that many. Besides, all positions of all texts are looked up among the segments' pieces, which are as many runs of
+   at most PIECE bytes, end to end, as a segment has: an edit changes one of them at most, so all but as many as
+   the allowed edits stand in any text that is near, at shifts that differ by no more than these. Where that many do, a window is laid at the
+   beginning that each of them tells. So each text that is near a segment has a window, whichever words are changed.
 2. CGK embedding: a random walk reads a window for three times its length, staying or moving on after each symbol by a
    random bit for (step, symbol), the same for all texts. Texts few edits apart give strings few positions apart.
 3. Bit-sampling LSH: WALKS embeddings with REPEATS samples of SAMPLED positions each; a window and an item that agree in
@@ -18,10 +21,10 @@ is within `rate` edits a byte of the whole item.
    changes GRAM of the item's runs of GRAM characters at most; a window that lacks more of them than that can't be near.
 
 The items are the stated query set: they go to all tasks in blocks of at most BLOCK_BYTES of text, one pass over the
-documents for each, and one to count the items' words. Documents are never shuffled. An item in which each word is
-changed has no anchor and isn't found; one of a single word is found where its word stands whole.
+documents for each, and one to count the items' words. Documents are never shuffled. What is lost is what the LSH loses.
 
-Defined results: null or empty texts hold nothing and no document holds an item that is null or has no words. Items of equal text each count. Repeated rows each have their hits. Empty tables give no
+Defined results: an item too short for an edit (under 1 / `rate` bytes) is held only where one of its words stands whole. Null or
+empty texts hold nothing and no document holds an item that is null or has no words. Items of equal text each count. Repeated rows each have their hits. Empty tables give no
 hits. Of the tables only doc_id, item_id and text are read; clean() keeps all columns of documents, whatever their names."""
 
 from __future__ import annotations
@@ -34,13 +37,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storyloom.llm import scratch
-from storyloom.llm.textkernel import PARTS, Words, buffers, merge_tables, slices, table_parts
+from storyloom.llm.textkernel import BASE, PARTS, SPACE, Words, buffers, merge_tables, slices, table_parts
 
 SEGMENT, SHORT, GAPS, LEAST = 256, 8, 3, 32
 #: A pair of words that chance brings about at most so often a word of text is an anchor.
 SELDOM = 3e-7
 #: Characters of the runs that are counted before an edit distance is computed.
 GRAM = 3
+PIECE = 8
+#: Pieces met at once, but in a text of a few segments' size.
+MET = 4_000_000
 #: Symbols of embeddings that are held at once.
 HELD = 16_000_000
 WALKS, REPEATS, SAMPLED = 3, 16, 3
@@ -103,6 +109,16 @@ def _runs(n: np.ndarray) -> np.ndarray:
     return np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
 
 
+def _values(data: np.ndarray, q: int) -> np.ndarray:
+    """The q bytes from each position of data but the last PIECE ones, as one number."""
+    x = np.ndarray((len(data) - PIECE,), "<u8", data, strides=(1,))
+    return x if q == PIECE else x & np.uint64((1 << (8 * q)) - 1)
+
+
+def _slot(value: np.ndarray, bits: int) -> np.ndarray:
+    return ((value * BASE) >> np.uint64(64 - bits)).view(np.int64)
+
+
 def grams(text: bytes) -> set[bytes]:
     return {text[i : i + GRAM] for i in range(len(text) - GRAM + 1)}
 
@@ -144,6 +160,22 @@ class Items:
         end = np.where(nth + 1 < parts[self.item], end, offsets[self.item + 1])
         self.length, self.words = end - start[first], count
         self.sampled = self._samples(data, start[first], np.arange(len(first)))
+        # Pieces. Edits of a segment: if each had more, the whole item, with the spaces between them, would have too many.
+        self.edits = np.where(parts[self.item] > 1, np.floor((self.length + 1) * self.rate).astype(np.int64), self.limit[self.item])
+        width = np.clip(self.length // (self.edits + 1), 1, PIECE)
+        self.whole = np.maximum(self.length // width - self.edits, 1)
+        text = np.concatenate([data, np.zeros(PIECE, np.uint8)])
+        self.pieces = {}
+        for q in np.unique(width).tolist():
+            seg = np.flatnonzero(width == q)
+            n = self.length[seg] // q
+            at, place = np.repeat(seg, n), _runs(n) * q
+            value = _values(text, q)[start[first][at] + place]
+            order = np.argsort(value, kind="stable")
+            bits = min(26, int(16 * len(order)).bit_length())
+            maybe = np.zeros(1 << bits, bool)
+            maybe[_slot(value, bits)] = True
+            self.pieces[q] = value[order], at[order], place[order], bits, maybe
 
     def anchor(self, counts: np.ndarray, total: int) -> Items:
         """Chooses the anchors by the words' counts in `total` words of text."""
@@ -222,6 +254,48 @@ class Items:
             met += [np.column_stack([text[i], self.at[entry], f]) for f in (by_words, by_bytes)]
         return np.unique(np.concatenate(met), axis=0)
 
+    def _stand(self, data: np.ndarray, base: np.ndarray) -> np.ndarray:
+        """Distinct (text, segment, byte at which its window begins) by the pieces of segments that stand in data: normal texts from
+        base on, and PIECE bytes more."""
+        out = [np.zeros((0, 3), np.int64)]
+        for q, (value, at, place, bits, maybe) in self.pieces.items():
+            x = _values(data, q)
+            i = np.flatnonzero(maybe[_slot(x, bits)])
+            low = np.searchsorted(value, x[i], "left")
+            same = value[np.minimum(low, len(value) - 1)] == x[i]
+            i, low = i[same], low[same]
+            n = np.searchsorted(value, x[i], "right") - low
+            reach, seg = int((self.length + 2 * self.edits)[at].max()) + 2 * PIECE, len(self.item)
+            todo = [(0, len(x))]
+            while todo:
+                a, b = todo.pop()
+                some = slice(*np.searchsorted(i, (a, b + reach)))  # what begins before b ends before b + reach
+                if n[some].sum() > MET and b - a > 4 * reach:
+                    todo += [(a, (a + b) // 2), ((a + b) // 2, b)]
+                    continue
+                entry, pos = np.repeat(low[some], n[some]) + _runs(n[some]), np.repeat(i[some], n[some])
+                text, piece = np.searchsorted(base, pos, "right") - 1, at[entry]
+                begin = pos - place[entry]
+                # Shifts of what is near differ by at most the edits, so they share one of two overlapping ranges.
+                span = (begin + reach) // (self.edits[piece] + 1)
+                group = (text * seg + piece) * (len(data) + 2 * reach) + span
+                group, two = np.concatenate([group, group + 1]), np.tile(np.arange(len(pos)), 2)
+                for distinct in (False, True):
+                    key = group if not distinct else np.unique(np.column_stack([group, entry[two]]), axis=0)[:, 0]
+                    have, c = np.unique(key, return_counts=True)
+                    where = np.searchsorted(have, group)
+                    keep = c[where] >= self.whole[piece[two]]
+                    group, two = group[keep], two[keep]
+                    if not len(two):
+                        break
+                two = np.unique(two)
+                # Without edits a word has to stand whole: the middle ones of three always do.
+                ends = np.minimum(begin[two] + self.length[piece[two]], len(data) - 1)
+                bounds = ((data[begin[two] - 1] == 32) | (begin[two] == base[text[two]])).astype(np.int64) + (data[ends] == 32)
+                two = two[(self.edits[piece[two]] > 0) | (bounds + self.words[self.item[piece[two]]] >= 3)]
+                out.append(np.column_stack([text[two], piece[two], np.maximum(begin[two], base[text[two]])]))
+        return np.unique(np.concatenate(out), axis=0)
+
     def hits(self, column: pa.Array):
         """(row, item, distance, first word) of the texts, once per row and item."""
         data, offsets = buffers(column)
@@ -229,17 +303,26 @@ class Items:
             words = Words(data, offsets[i : j + 1])
             size = words.end - words.start
             begin = np.cumsum(size + 1) - size - 1
-            met = self._met(words, begin) if len(size) else np.zeros((0, 3), np.int64)
+            if not len(size):
+                continue
+            # The texts made normal, in a row, each with a space after it.
+            data_ = np.full(int(begin[-1] + size[-1]) + 1 + PIECE, 32, np.uint8)
+            inside = np.ones(len(data_) - PIECE, bool)
+            inside[begin + size] = False
+            data_[:-PIECE][inside] = words.data[~SPACE[words.data]]
+            base = np.append(begin, len(inside))[words.first]
+            met = self._met(words, begin)
+            met[:, 2] = begin[met[:, 2]]
+            met = np.unique(np.concatenate([met, self._stand(data_, base[:-1])]), axis=0)
             if not len(met):
                 continue
-            # The texts in question, made normal and put in a row.
-            rows = np.unique(met[:, 0])
-            texts = {r: b" ".join(words.data[words.offsets[r] : words.offsets[r + 1]].tobytes().split()) for r in rows.tolist()}
-            base = np.zeros(len(words.first), np.int64)
-            lengths = [len(texts[r]) for r in rows.tolist()]
-            base[rows] = np.cumsum(lengths) - lengths
-            place = begin[met[:, 2]] - begin[words.first[met[:, 0]]]
-            near = self.similar(np.frombuffer(b"".join(texts.values()), np.uint8), base[met[:, 0]] + place, met[:, 1])
+            texts = {r: data_[base[r] : base[r + 1] - 1].tobytes() for r in np.unique(met[:, 0]).tolist()}
+            place = met[:, 2] - base[met[:, 0]]
+            # The word that begins next to the window's beginning.
+            right = np.minimum(np.searchsorted(begin, met[:, 2]), words.first[met[:, 0] + 1] - 1)
+            left = np.maximum(right - 1, words.first[met[:, 0]])
+            met[:, 2] = np.where(np.abs(met[:, 2] - begin[left]) < np.abs(begin[right] - met[:, 2]), left, right)
+            near = self.similar(data_, base[met[:, 0]] + place, met[:, 1])
             best: dict[tuple[int, int], tuple[int, int]] = {}
             tried, own = set(), {}
             for (r, m, f), p in zip(met[near].tolist(), place[near].tolist(), strict=True):

@@ -296,6 +296,35 @@ def test_decontamination_finds_what_brute_force_finds(spark):
     assert got == want
 
 
+@pytest.mark.parametrize(("words", "letters", "at"), [(12, 12, 5), (40, 10, 9), (3, 20, 10), (300, 11, 0)])
+def test_decontamination_finds_items_in_which_each_word_is_changed(words, letters, at):
+    rng = random.Random(words)
+    some = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=letters)) for _ in range(words * 20)]
+    items = [some[i : i + words] for i in range(0, len(some), words)]
+    texts = [" ".join(w[:at] + rng.choice("0123456789") + w[at + 1 :] for w in x) for x in items]
+    block = decontaminate.Items(list(range(len(items))), [" ".join(x).encode() for x in items], 0.1)
+    data, offsets = textkernel.buffers(pa.array(texts))
+    number = block.numbers(textkernel.Words(data, offsets).hashes())
+    assert (number < 0).all()  # no word stands
+    found = {(r, k): d for r, k, d, _ in block.anchor(np.zeros(len(block.vocab)), len(number)).hits(pa.array([f"other words {x} at the end" for x in texts]))}
+    assert found == {(i, i): words for i in range(len(items))}
+
+
+@pytest.mark.parametrize("met", [100, 4_000_000])
+def test_decontamination_looks_at_all_positions(monkeypatch, met):
+    """Windows are laid wherever brute force finds an item within the rate: in words, between spaces, over repeated letters."""
+    monkeypatch.setattr(decontaminate, "MET", met)
+    rng = random.Random(8)
+    items = [bytes(rng.choices(b"abc ", k=n)).strip() + b"x" for n in (*range(1, 40), 60, 80, 200)] + [b"a" * 50, b"ab" * 30]
+    block = decontaminate.Items(list(range(len(items))), [decontaminate.normal(x.decode()) for x in items], 0.1)
+    texts = [decontaminate.normal("".join(rng.choices("abcx  ", k=rng.randint(0, 300))) + edited(rng, x, len(x) // 10) + "c" * rng.randint(0, 90)) for x in [t.decode() for t in block.texts] * 3]
+    base = np.cumsum([0, *(len(x) + 1 for x in texts)])
+    data = np.frombuffer(b" ".join(texts) + b" " * (1 + decontaminate.PIECE), np.uint8)
+    stand = {(r, k) for r, k, _ in block._stand(data, base[:-1]).tolist()}
+    near = {(r, k) for r, x in enumerate(texts) for k, t in enumerate(block.texts) if decontaminate.distance(t, x, len(t) // 10) <= len(t) // 10 and (len(t) > 9 or b" " + t + b" " in b" " + x + b" ")}
+    assert len(near) > 90 and near <= stand
+
+
 def test_decontamination_of_a_long_item():
     rng = random.Random(2)
     item = " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(3, 9))) for _ in range(5000))
