@@ -4,7 +4,7 @@ Lines are compared without white space at their ends and in lower case; lines wi
 are found, counted, paired and united by column functions; hashes of shingles, sets of them and meetings in bands are numpy's on Arrow batches,
 since the form in column functions only was far beyond its CPU budget (figures in the README).
 
-1. Equal lines become one, by 128 bits of hashes, with their first place and count; these are written, texts are not. From here on a
+1. Equal lines become one, by 128 bits of hashes, with their first place and count. But for these a
    line is named by 64 bits; of different lines with one name, if chance brings that about, one is paired and the others stay.
 2. Each gives hashes of all its runs of SHINGLE characters. In their order, which is the same for all lines, each three in
    a row make a band, BANDS at most: lines whose least hashes agree in a row of three meet.
@@ -14,9 +14,11 @@ since the form in column functions only was far beyond its CPU budget (figures i
 4. Only pairs go on whose sets' parities, in BITS classes of shingles, differ in no more classes than the sets of a similar pair
    can differ in shingles, which loses none. Each is verified once: Jaccard of the sets of all shingles of VERIFY characters at
    least `similarity`.
-5. Contraction unites linked lines. Lines of one band that are still in different groups are then compared as well: all
+5. Contraction unites linked lines. Lines of one band that are still in different groups are then paired as well: all
    with all in bands of at most MIDDLE lines, once for each pair; lines of larger bands where they share one of the rare shingles
-   that any similar pair must share (prefix, length and positional filters). No link within a band is lost.
+   that any similar pair must share (prefix, length and positional filters). Of these pairs the likeliest of each group is verified
+   first, then the likeliest of each two groups, then all that are still between two groups. No link within a band
+   that would unite groups is lost.
 6. Of each group the first line by (doc_id, hash of the text, line number) stays.
 
 No join has a hint: what is broadcast is for the session's threshold in bytes to say.
@@ -128,7 +130,7 @@ def bands(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     for j in range(3):
         band = mix(band * BASE + (key[first + (at + j) % size] & low_bits))
     has = at < size
-    return band[has], np.nonzero(has)[0]
+    return band[has] >> np.uint64(64 - _LOW), np.nonzero(has)[0]  # what meets by chance is verified away; zeros shrink in the shuffle
 
 
 def _distinct(h: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -272,31 +274,37 @@ def _more_candidates(met: DataFrame, groups: DataFrame, tried: DataFrame) -> Dat
     return best.select(F.col("p.hub").alias("a"), F.col("p.id").alias("b"))
 
 
+def _apart() -> Column:
+    """In how many classes the parities of two described lines (columns with x and y at their ends) are different."""
+    return sum((F.bit_count(F.col(f"b{k}x").bitwiseXOR(F.col(f"b{k}y"))) for k in range(1, _WORDS)), F.bit_count(F.col("b0x").bitwiseXOR(F.col("b0y"))))
+
+
 def _may_be_similar(similarity: float) -> Column:
     """Whether the sets of two described lines (columns with x and y at their ends) may be similar: by their sizes and the
     shingles that they don't share, which are at least the classes whose parity is different."""
     sizes = F.least("nx", "ny") >= similarity * F.greatest("nx", "ny") - 1e-9
-    other = sum((F.bit_count(F.col(f"b{k}x").bitwiseXOR(F.col(f"b{k}y"))) for k in range(1, _WORDS)), F.bit_count(F.col("b0x").bitwiseXOR(F.col("b0y"))))
-    return sizes & (other <= (1 - similarity) / (1 + similarity) * (F.col("nx") + F.col("ny")) + 1e-9)
+    return sizes & (_apart() <= (1 - similarity) / (1 + similarity) * (F.col("nx") + F.col("ny")) + 1e-9)
 
 
 _DESCRIBED = ("n", *(f"b{k}" for k in range(_WORDS)))
 
 
 def _rest(spark: SparkSession, lines: Lines, met: DataFrame, groups: DataFrame, similarity: float) -> DataFrame:
-    """Distinct pairs (a, b) of lines that share a band and are in different groups, but for those that can't be similar."""
+    """Distinct pairs (a, b) of lines that share a band and are in different groups x and y, but for those that can't be similar;
+    apart: the share of shingles in which they seem to differ."""
+    pair = [*_pair("idx", "idy"), F.least("rootx", "rooty").alias("x"), F.greatest("rootx", "rooty").alias("y"), (_apart() / (F.col("nx") + F.col("ny"))).alias("apart")]
     rows = met.select("id", "band").join(groups, "id", "left").withColumn("root", F.coalesce("root", "id"))
     open_ = rows.groupBy("band").agg(F.count("*").alias("c"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("band", F.col("c").alias("members"))
     rows = scratch.save(spark, rows.join(open_, "band"), "line-rest")
     few = scratch.save(spark, rows.where(f"members <= {SMALL}").join(lines.described, "id"), "line-few")
     x, y = (few.select("band", *(F.col(c).alias(f"{c}{s}") for c in ("id", "root", *_DESCRIBED))) for s in "xy")
-    pairs = x.join(y, "band").where(F.expr("idx < idy and rootx <> rooty") & _may_be_similar(similarity)).select(*_pair("idx", "idy"))
+    pairs = x.join(y, "band").where(F.expr("idx < idy and rootx <> rooty") & _may_be_similar(similarity)).select(*pair)
     some = rows.where(f"members > {SMALL} and members <= {MIDDLE}").select("id", "band", "root")
     some = some.join(some.groupBy("id").agg(F.collect_list("band").alias("bands")), "id").join(lines.described, "id")
     some = scratch.save(spark, some, "line-some")
     x, y = (some.select("band", *(F.col(c).alias(f"{c}{s}") for c in ("id", "root", "bands", *_DESCRIBED))) for s in "xy")
     near = x.join(y, "band").where(F.expr("idx < idy and rootx <> rooty") & _may_be_similar(similarity) & F.expr("band = array_min(array_intersect(bandsx, bandsy))"))
-    pairs = pairs.union(near.select(*_pair("idx", "idy")))
+    pairs = pairs.union(near.select(*pair))
     many = scratch.save(spark, rows.where(f"members > {MIDDLE}").select("id", "root").distinct(), "line-many")
     if not many.isEmpty():
         # Written first, so that Catalyst doesn't make the sets of all lines below the join.
@@ -312,7 +320,7 @@ def _rest(spark: SparkSession, lines: Lines, met: DataFrame, groups: DataFrame,
         need = similarity / (1 + similarity) * (F.col("nx") + F.col("ny")) - 1e-9
         near = side("x", F.pmod(F.xxhash64("id"), F.col("parts"))).join(side("y", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))), ["token", "salt"])
         near = near.where(F.expr("idx < idy and rootx <> rooty") & (F.least(F.col("nx") - F.col("atx"), F.col("ny") - F.col("aty")) >= need) & _may_be_similar(similarity))
-        pairs = pairs.union(near.select(*_pair("idx", "idy")))
+        pairs = pairs.union(near.select(*pair))
     return pairs.distinct()
 
 
@@ -361,6 +369,34 @@ def _verified(spark: SparkSession, lines: Lines, pairs: DataFrame, similarity: f
     return scratch.save(spark, pairs.join(x, "a").join(y, "b").mapInArrow(_compare(similarity), "a long, b long"), "line-links")
 
 
+def _uniting(spark: SparkSession, lines: Lines, rest: DataFrame, similarity: float) -> list[DataFrame]:
+    """Links (a, b) among the pairs of _rest(), a written table, that unite whatever all links among these would: a pair whose groups others
+    have united needs no look."""
+    links, likeliest = [], F.min_by(F.struct("a", "b"), F.struct("apart", "a", "b")).alias("p")
+    for step in ("group", "two groups", "all"):
+        some = rest.select("a", "b", "x", "y")
+        if step == "group":
+            best = rest.union(rest.select("a", "b", F.col("y").alias("x"), F.col("x").alias("y"), "apart")).groupBy("x").agg(likeliest)
+            some = some.join(best.select("p.a", "p.b").distinct(), ["a", "b"])
+        elif step == "two groups":
+            some = rest.groupBy("x", "y").agg(likeliest).select("p.a", "p.b", "x", "y")
+        some = scratch.save(spark, some, "line-rest-some")
+        links.append(_verified(spark, lines, some.select("a", "b"), similarity))
+        scratch.release(spark)
+        if step == "all":
+            break
+        united = some.join(links[-1], ["a", "b"], "left_semi").select(F.col("x").alias("a"), F.col("y").alias("b"))
+        to = connected_components(spark, united, "lines-rest")
+        left = rest.join(some.select("a", "b"), ["a", "b"], "left_anti")
+        for c in "xy":
+            left = left.join(to.select(F.col("id").alias(c), F.col("root").alias(f"to_{c}")), c, "left").withColumn(c, F.coalesce(f"to_{c}", c)).drop(f"to_{c}")
+        left = left.where("x <> y").select("a", "b", F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"), "apart")
+        rest = scratch.save(spark, left, "line-rest-left")
+        if rest.isEmpty():
+            break
+    return links
+
+
 def _found(spark: SparkSession, documents: DataFrame, similarity: float) -> DataFrame:
     """doc_id (not null), text_hash, line_no and h of each line that goes, with the place of the one that stays."""
     scratch.bound_batches(spark)
@@ -383,9 +419,6 @@ def find(spark: SparkSession, documents: DataFrame, similarity: float = 0.8) ->
 
 def _keepers(spark: SparkSession, docs: DataFrame, similarity: float) -> DataFrame:
     """(h, g, keep) of the lines that occur more than once or are linked; keep: the place of the one that stays."""
-    firsts = _lines(docs).select(*_hashes(), _place().alias("place")).groupBy("h", "g").agg(F.min("place").alias("place"), F.count("*").alias("n"))
-    firsts = scratch.save(spark, firsts, "lines")
-    scratch.release(spark)
     all_lines = _lines(docs).select(*_hashes(), "line")
     met = scratch.save(spark, _meetings(all_lines), "line-meetings")
     scratch.release(spark)
@@ -409,7 +442,12 @@ def _keepers(spark: SparkSession, docs: DataFrame, similarity: float) -> DataFra
     rest = scratch.save(spark, _rest(spark, lines, met, groups, similarity).join(pairs, ["a", "b"], "left_anti"), "line-rest-pairs")
     scratch.release(spark)
     if not rest.isEmpty():
-        groups = connected_components(spark, links.union(_verified(spark, lines, rest, similarity)), "lines-all")
+        for found in _uniting(spark, lines, rest, similarity):
+            links = links.union(found)
+        groups = connected_components(spark, links, "lines-all")
+    scratch.release(spark)
+    # Not before, so that places of all lines don't lie beside the bands.
+    firsts = _lines(docs).select(*_hashes(), _place().alias("place")).groupBy("h", "g").agg(F.min("place").alias("place"), F.count("*").alias("n"))
     named = lines.texts.select(F.col("id").alias("h"), "g").join(groups.withColumnRenamed("id", "h"), "h")
     blank = (F.col("h") == F.xxhash64(F.lit(""))) & (F.col("g") == F.xxhash64(F.lit(7), F.lit("")))
     several = scratch.save(spark, firsts.join(named, ["h", "g"], "left").where("n > 1 or root is not null").where(~blank), "line-several")

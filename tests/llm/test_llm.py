@@ -170,6 +170,21 @@ def test_line_dedup_pairs_all_of_larger_bands(spark, monkeypatch, middle):
     assert got <= {(k + 1, k) for k in range(0, 600, 2)} and len(got) >= 0.98 * 300
 
 
+def test_line_dedup_verifies_no_pairs_within_a_group(spark, monkeypatch):
+    """A group of near copies costs as many pairs as it has lines, not their square, and far lines that share its bands aren't united with it."""
+    rng = random.Random(12)
+    passage = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=300))
+    rows = [(k, passage[:c] + "".join(rng.choices("QXZ", k=2)) + passage[c + 2 :]) for k in range(100) for c in [rng.randrange(290)]]
+    rows += [(100 + k, passage[:250] + "".join(rng.choices("0123456789", k=120))) for k in range(5)]
+    verify, seen = line_dedup._verified, []
+    monkeypatch.setattr(line_dedup, "_verified", lambda spark, lines, pairs, similarity: seen.append(pairs.count()) or verify(spark, lines, pairs, similarity))
+    monkeypatch.setattr(line_dedup, "_candidates", lambda met: met.selectExpr("hub AS a", "id AS b").limit(0))
+    monkeypatch.setattr(line_dedup, "HUB_ROUNDS", 1)
+    got = {(r["doc_id"], r["keep_doc_id"]) for r in line_dedup.find(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(k, 0) for k in range(1, 100)}
+    assert sum(seen) < 1000  # of 4950
+
+
 def test_line_dedup_tells_lines_of_one_hash_apart(spark):
     one, two = (
         "w=(bmf})the first of two lines, 5=,c}^'~which one hash can't tel",
