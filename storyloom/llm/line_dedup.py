@@ -1,22 +1,24 @@
 """Fuzzy line dedup: MinHash signatures of character shingles, banding, exact Jaccard verification, union-find.
 
-Lines are compared without white space at their ends and in lower case; lines without other characters are left alone. Lines
-are found, counted, paired and united by column functions; hashes of shingles, sets of them and meetings in bands are numpy's on Arrow batches,
-since the form in column functions only was far beyond its CPU budget (figures in the README).
+Lines are compared without white space at their ends and in lower case; lines without other characters are left alone. All is
+done by column functions and joins; nothing runs in Python on the executors. The kernels in numpy below are the same sets,
+sizes and comparisons in another form, which the tests hold against the column functions (and plain sets).
 
 1. Equal lines become one, by 128 bits of hashes, with their first place and count. But for these a
    line is named by 64 bits; of different lines with one name, if chance brings that about, one is paired and the others stay.
-2. Each gives hashes of all its runs of SHINGLE characters. In their order, which is the same for all lines, each three in
-   a row make a band, BANDS at most: lines whose least hashes agree in a row of three meet.
+2. Each gives hashes of all its runs of SHINGLE bytes. In their order, which is the same for all lines, each three in
+   a row make a band, BANDS at most: lines whose least hashes agree in a row of three meet. A line that stands in more than SALTED
+   places gives them once.
 3. Each line is first paired with one other: the first of a band, the one that it meets in most of its bands. As long as this
    unites lines, and HUB_ROUNDS times at most, each group is then paired in the same way with each other group of which it
    meets a first line; only lines in different groups are paired, once.
-4. Only pairs go on whose sets' parities, in BITS classes of shingles, differ in no more classes than the sets of a similar pair
-   can differ in shingles, which loses none. Each is verified once: Jaccard of the sets of all shingles of VERIFY characters at
-   least `similarity`.
-5. Contraction unites linked lines. Lines of one band that are still in different groups are then paired as well: all
+4. Each pair is verified once: Jaccard of the sets of all shingles of VERIFY characters at least `similarity`.
+5. Contraction unites linked lines. Lines of one band that are still in different groups are then paired as well. In bands of more
+   than CROWD lines first with their next neighbour in a shuffled order, of which the likeliest of each group is verified; as long
+   as this unites groups, and NEAR_ROUNDS times at most. Then what is still in different groups, exhaustively: all
    with all in bands of at most MIDDLE lines, once for each pair; lines of larger bands where they share one of the rare shingles
-   that any similar pair must share (prefix, length and positional filters). Of these pairs the likeliest of each group is verified
+   that any similar pair must share (prefix, length and positional filters). Only pairs go on whose sets' parities, in BITS classes of
+   shingles, differ in no more classes than the sets of a similar pair can differ in shingles, which loses none. Of these pairs the likeliest of each group is verified
    first, then the likeliest of each two groups, then all that are still between two groups. No link within a band
    that would unite groups is lost.
 6. Of each group the first line by (doc_id, hash of the text, line number) stays.
@@ -32,13 +34,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from storyloom.llm import scratch
 from storyloom.llm.components import connected_components
-from storyloom.llm.textkernel import BASE, buffers, merge_tables, mix, slices, table_parts
+from storyloom.llm.textkernel import BASE, buffers, mix, slices
 
 SHINGLE, VERIFY, BANDS = 8, 5, 12
 WHITE = " \t\n\x0b\x0c\r"
@@ -52,7 +53,9 @@ SMALL, MIDDLE = 64, 2048
 MARKS = 1 << 26
 #: Rounds of pairs with the first lines of bands, before all lines that share a band are compared.
 HUB_ROUNDS = 4
-#: Lines with one shingle that meet in one task.
+#: Lines of a band up to which all are paired with all at once, and rounds of pairs with neighbours in larger ones before that.
+CROWD, NEAR_ROUNDS = 8, 3
+#: Lines with one shingle that meet in one task, and places of a line that are hashed and sent one by one.
 SALTED = 1000
 BITS = 512
 _WORDS = BITS // 64
@@ -147,47 +150,6 @@ def _few(offsets: np.ndarray):
             yield k, min(j, k + _SET_PAIRS)
 
 
-def _once(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """Of the rows h, g, line one for each line that has characters."""
-    h, g = (batch.column(c).to_numpy(zero_copy_only=False) for c in "hg")
-    order = np.lexsort((g, h))
-    h, g = h[order], g[order]
-    first = np.ones(len(order), bool)
-    first[1:] = (h[1:] != h[:-1]) | (g[1:] != g[:-1])
-    batch = batch.take(pa.array(np.sort(order[first])))
-    return batch.filter(pc.greater(pc.binary_length(batch.column("line")), 0))
-
-
-def _sign(batches):
-    for b in map(_once, batches):
-        data, offsets = buffers(b.column("line"))
-        ids = b.column("h").to_numpy(zero_copy_only=False)
-        for i, j in slices(offsets, SLICE):
-            band, of = bands(data, offsets[i : j + 1])
-            yield pa.record_batch({"id": pa.array(ids[i:j][of]), "band": pa.array(band.view(np.int64))})
-
-
-def _meet(batches):
-    """id, band, hub of the lines that aren't alone in their band; rows come sorted by band and id, and some
-    repeat. A row waits for the next one, which may be in the next batch."""
-    out = lambda i, b, h, some: pa.record_batch({"id": pa.array(i[some]), "band": pa.array(b[some]), "hub": pa.array(h[some])})
-    none = np.zeros(0, np.int64)
-    last = (none, none, none)
-    for batch in batches:
-        ids, band = (np.concatenate([x, batch.column(c).to_numpy(zero_copy_only=False)]) for c, x in zip(("id", "band"), last, strict=False))
-        if not len(ids):
-            continue
-        new = np.concatenate([[True], (band[1:] != band[:-1]) | (ids[1:] != ids[:-1])])
-        ids, band = ids[new], band[new]
-        begins = np.concatenate([[True], band[1:] != band[:-1]])
-        hub = ids[begins][np.cumsum(begins) - 1]
-        if len(last[2]):
-            hub[: int(np.argmax(begins[1:])) + 1 if begins[1:].any() else len(hub)] = last[2][0]
-        yield out(ids, band, hub, np.flatnonzero((hub[:-1] != ids[:-1]) | ~begins[1:]))
-        last = ids[-1:], band[-1:], hub[-1:]
-    yield out(*last, last[2] != last[0])
-
-
 def _compare(similarity: float):
     def run(batches):
         for b in batches:
@@ -214,13 +176,33 @@ def _describe(batches):
             yield pa.record_batch({"id": b.column("id").slice(i, j - i), "n": pa.array(n), **{f"b{k}": pa.array(np.ascontiguousarray(words[:, k])) for k in range(_WORDS)}})
 
 
-def _tokens(batches):
-    for b in batches:
-        data, offsets = buffers(b.column("line"))
-        ids = b.column("id").to_numpy(zero_copy_only=False)
-        for i, j in _few(offsets):
-            key, n = _distinct(*shingles(data, offsets[i : j + 1], VERIFY))
-            yield pa.record_batch({"id": pa.array(np.repeat(ids[i:j], n)), "token": pa.array((key & np.uint64(2**_SET_LOW - 1)).view(np.int64))})
+def runs(line: Column, size: int) -> Column:
+    """Hashes of all runs of so many bytes; a shorter line is one."""
+    # The bytes are bound as an array's only element, so that they are made once and not for each run.
+    each = lambda b: F.transform(F.sequence(F.lit(1), F.greatest(F.octet_length(b) - (size - 1), F.lit(1))), lambda i: F.xxhash64(F.substr(b, i, F.lit(size))))
+    return F.get(F.transform(F.array(line.cast("binary")), each), F.lit(0))
+
+
+def tokens(line: Column) -> Column:
+    """Hashes of all shingles of VERIFY characters, with repetitions; a shorter line is one."""
+    some = F.when(F.length(line) <= VERIFY, F.array(line)).otherwise(F.regexp_extract_all(line, F.lit(f"(?s)(?=(.{{{VERIFY}}}))."), 1))
+    return F.when(F.octet_length(line) == F.length(line), runs(line, VERIFY)).otherwise(F.transform(some, lambda t: F.xxhash64(t)))
+
+
+def similar(x: Column, y: Column, similarity: float) -> Column:
+    """Whether two lines are: one expression, so that Catalyst makes their sets once."""
+    both = F.array(F.struct(tokens(x).alias("x"), tokens(y).alias("y")))
+    return F.get(F.transform(both, lambda p: F.size(F.array_intersect(p["x"], p["y"])) >= similarity * F.size(F.array_union(p["x"], p["y"]))), F.lit(0))
+
+
+def described(lines: DataFrame) -> DataFrame:
+    """Of id and line: id, n (distinct shingles) and the parities of their classes."""
+    rows = lines.select("id", F.explode(F.array_distinct(tokens(F.col("line")))).alias("t"))
+    bit = F.expr("shiftleft(1L, cast(t & 63 as int))")
+    word = F.expr(f"shiftrightunsigned(t, 6) & {_WORDS - 1}")
+    return rows.select("id", bit.alias("bit"), word.alias("word")).groupBy("id").agg(
+        F.count("*").alias("n"), *(F.expr(f"bit_xor(if(word = {k}, bit, 0L))").alias(f"b{k}") for k in range(_WORDS))
+    )
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -244,13 +226,24 @@ def _hashes() -> list[Column]:
 
 
 def _bands(lines: DataFrame) -> DataFrame:
-    """(id, band) of each line (h, g, line); some repeat."""
-    return lines.mapInArrow(_sign, "id long, band long")
+    """(id, band) of each line (h, line); some repeat."""
+    wide = 2 * (BANDS + 2)
+    d = lines.select("h", "line", F.sort_array(runs(F.col("line"), SHINGLE)).alias("_all"))
+    # The least distinct hashes are among the first ones, unless these repeat each other.
+    d = d.withColumn("_m", F.array_distinct(F.slice("_all", 1, wide)))
+    whole = (F.size("_m") >= BANDS + 2) | (F.size("_all") <= wide)
+    d = d.withColumn("_m", F.slice(F.when(whole, F.col("_m")).otherwise(F.array_distinct("_all")), 1, BANDS + 2))
+    m, size = F.col("_m"), F.size("_m")
+    # What meets by chance of 40 bits is verified away; zeros shrink in the shuffle.
+    bands = F.transform(F.slice(m, 1, BANDS), lambda x, i: F.shiftrightunsigned(F.xxhash64(x, F.get(m, (i + 1) % size), F.get(m, (i + 2) % size)), 64 - _LOW))
+    return d.select(F.col("h").alias("id"), F.explode(F.when(F.col("line") != "", bands)).alias("band"))
 
 
 def _meetings(lines: DataFrame) -> DataFrame:
     """(id, band, hub) of the lines that share a band with others; hub: the first of them."""
-    return _bands(lines).repartition("band").sortWithinPartitions("band", "id").mapInArrow(_meet, "id long, band long, hub long")
+    w = Window.partitionBy("band")
+    met = _bands(lines).select("id", "band", F.min("id").over(w).alias("hub"), F.max("id").over(w).alias("last"))
+    return met.where("hub <> last").select("id", "band", "hub").distinct()
 
 
 def _pair(a: str, b: str) -> list[Column]:
@@ -289,76 +282,92 @@ def _may_be_similar(similarity: float) -> Column:
 _DESCRIBED = ("n", *(f"b{k}" for k in range(_WORDS)))
 
 
-def _rest(spark: SparkSession, lines: Lines, met: DataFrame, groups: DataFrame, similarity: float) -> DataFrame:
+def _rooted(rows: DataFrame, groups: DataFrame, by: str) -> DataFrame:
+    """rows whose root is that of their `by` in groups (id, root), where there is one."""
+    to = groups.select(F.col("id").alias(by), F.col("root").alias("_to"))
+    return rows.join(to, by, "left").withColumn("root", F.coalesce("_to", "root")).drop("_to")
+
+
+def _neighbours(spark: SparkSession, lines: Lines, rows: DataFrame, features: DataFrame, similarity: float) -> tuple[DataFrame, list[DataFrame]]:
+    """rows (id, band, root, members) with the roots that links with neighbours in crowded bands give, and these links."""
+    links = []
+    for k in range(NEAR_ROUNDS):
+        w = Window.partitionBy("band").orderBy(F.xxhash64(F.lit(k), "id"))
+        near = rows.where(f"members > {CROWD}").select("id", "root", F.lead("id").over(w).alias("other"), F.lead("root").over(w).alias("other_root"))
+        near = near.where("root <> other_root").select(F.col("id").alias("idx"), F.col("root").alias("rootx"), F.col("other").alias("idy"), F.col("other_root").alias("rooty")).distinct()
+        for end in "xy":
+            near = near.join(features.select(*(F.col(c).alias(f"{c}{end}") for c in ("id", *_DESCRIBED))), f"id{end}")
+        near = near.where(_may_be_similar(similarity)).select(*_pair("idx", "idy"), "rootx", "rooty", (_apart() / (F.col("nx") + F.col("ny"))).alias("apart"))
+        near = scratch.save(spark, near, "line-near")
+        ends = near.select("a", "b", "apart", F.explode(F.array("rootx", "rooty")).alias("x"))
+        best = ends.groupBy("x").agg(F.min_by(F.struct("a", "b"), F.struct("apart", "a", "b")).alias("p"))
+        found = _verified(spark, lines, scratch.save(spark, best.select("p.a", "p.b").distinct(), "line-near-some"), similarity)
+        if found.isEmpty():
+            break
+        links.append(found)
+        united = near.join(found, ["a", "b"], "left_semi").select(F.col("rootx").alias("a"), F.col("rooty").alias("b"))
+        to = connected_components(spark, united, "lines-near")
+        rows = scratch.save(spark, _rooted(rows.withColumn("old", F.col("root")), to, "old").drop("old"), "line-rest")
+    return rows, links
+
+
+def _rest(spark: SparkSession, lines: Lines, met: DataFrame, groups: DataFrame, similarity: float) -> tuple[DataFrame, list[DataFrame]]:
     """Distinct pairs (a, b) of lines that share a band and are in different groups x and y, but for those that can't be similar;
-    apart: the share of shingles in which they seem to differ."""
+    apart: the share of shingles in which they seem to differ. Beside them the links found on the way, which the groups hold."""
     pair = [*_pair("idx", "idy"), F.least("rootx", "rooty").alias("x"), F.greatest("rootx", "rooty").alias("y"), (_apart() / (F.col("nx") + F.col("ny"))).alias("apart")]
-    rows = met.select("id", "band").join(groups, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    rows = _rooted(met.select("id", "band", F.col("id").alias("root")), groups, "id")
     open_ = rows.groupBy("band").agg(F.count("*").alias("c"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("band", F.col("c").alias("members"))
     rows = scratch.save(spark, rows.join(open_, "band"), "line-rest")
-    few = scratch.save(spark, rows.where(f"members <= {SMALL}").join(lines.described, "id"), "line-few")
+    # Written first, so that Catalyst doesn't make the sets of all lines below the join.
+    some = scratch.save(spark, lines.texts.join(rows.select("id").distinct(), "id", "left_semi").select("id", "line"), "line-rest-texts")
+    features = scratch.save(spark, described(some), "line-described")
+    rows, links = _neighbours(spark, lines, rows, features, similarity)
+    few = scratch.save(spark, rows.where(f"members <= {SMALL}").join(features, "id"), "line-few")
     x, y = (few.select("band", *(F.col(c).alias(f"{c}{s}") for c in ("id", "root", *_DESCRIBED))) for s in "xy")
     pairs = x.join(y, "band").where(F.expr("idx < idy and rootx <> rooty") & _may_be_similar(similarity)).select(*pair)
     some = rows.where(f"members > {SMALL} and members <= {MIDDLE}").select("id", "band", "root")
-    some = some.join(some.groupBy("id").agg(F.collect_list("band").alias("bands")), "id").join(lines.described, "id")
+    some = some.join(some.groupBy("id").agg(F.collect_list("band").alias("bands")), "id").join(features, "id")
     some = scratch.save(spark, some, "line-some")
     x, y = (some.select("band", *(F.col(c).alias(f"{c}{s}") for c in ("id", "root", "bands", *_DESCRIBED))) for s in "xy")
     near = x.join(y, "band").where(F.expr("idx < idy and rootx <> rooty") & _may_be_similar(similarity) & F.expr("band = array_min(array_intersect(bandsx, bandsy))"))
     pairs = pairs.union(near.select(*pair))
     many = scratch.save(spark, rows.where(f"members > {MIDDLE}").select("id", "root").distinct(), "line-many")
     if not many.isEmpty():
-        # Written first, so that Catalyst doesn't make the sets of all lines below the join.
         some = scratch.save(spark, lines.texts.join(many.select("id"), "id", "left_semi"), "line-many-texts")
-        tokens = scratch.save(spark, some.select("id", "line").mapInArrow(_tokens, "id long, token long"), "line-shingles")
-        tokens = tokens.join(tokens.groupBy("token").agg(F.count("*").alias("c")), "token")
+        shares = scratch.save(spark, some.select("id", F.explode(F.array_distinct(tokens(F.col("line")))).alias("token")), "line-shingles")
+        shares = shares.join(shares.groupBy("token").agg(F.count("*").alias("c")), "token")
         w = Window.partitionBy("id")
-        tokens = tokens.withColumns({"at": F.row_number().over(w.orderBy("c", "token")) - 1, "n": F.count("*").over(w)})
-        tokens = tokens.where(F.col("at") <= F.col("n") - F.ceil(similarity * F.col("n") - 1e-9)).where("c > 1").drop("n")
-        tokens = tokens.join(many.join(lines.described, "id"), "id").withColumn("parts", F.ceil(F.col("c") / SALTED))
-        tokens = scratch.save(spark, tokens, "line-prefixes")
-        side = lambda s, salt: tokens.select("token", salt.alias("salt"), *(F.col(c).alias(f"{c}{s}") for c in ("id", "root", "at", *_DESCRIBED)))
+        shares = shares.withColumns({"at": F.row_number().over(w.orderBy("c", "token")) - 1, "n": F.count("*").over(w)})
+        shares = shares.where(F.col("at") <= F.col("n") - F.ceil(similarity * F.col("n") - 1e-9)).where("c > 1").drop("n")
+        shares = shares.join(many.join(features, "id"), "id").withColumn("parts", F.ceil(F.col("c") / SALTED))
+        shares = scratch.save(spark, shares, "line-prefixes")
+        side = lambda s, salt: shares.select("token", salt.alias("salt"), *(F.col(c).alias(f"{c}{s}") for c in ("id", "root", "at", *_DESCRIBED)))
         need = similarity / (1 + similarity) * (F.col("nx") + F.col("ny")) - 1e-9
         near = side("x", F.pmod(F.xxhash64("id"), F.col("parts"))).join(side("y", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))), ["token", "salt"])
         near = near.where(F.expr("idx < idy and rootx <> rooty") & (F.least(F.col("nx") - F.col("atx"), F.col("ny") - F.col("aty")) >= need) & _may_be_similar(similarity))
         pairs = pairs.union(near.select(*pair))
-    return pairs.distinct()
+    return pairs.distinct(), links
 
 
 def _marked(spark: SparkSession, lines: DataFrame, met: DataFrame) -> DataFrame:
-    """All lines (h, g, line) that meet others, and few that don't: a table of fixed size tells most of these apart, so that their
+    """All lines (h, g, line) that meet others, and few that don't: bitmaps of MARKS bits in all tell most of these apart, so that their
     texts aren't shuffled."""
-
-    def mark(batches):
-        table = np.zeros(MARKS // 8, np.uint8)
-        for b in batches:
-            h = b.column("id").to_numpy(zero_copy_only=False)
-            np.bitwise_or.at(table, (h >> 3) & (MARKS // 8 - 1), np.uint8(1) << (h & 7).astype(np.uint8))
-        yield table_parts(table)
-
-    table = merge_tables(met.select("id").mapInArrow(mark, "part int, cells binary"), np.uint8, np.bitwise_or)
-    marks = spark.sparkContext.broadcast(table if len(table) else np.zeros(MARKS // 8, np.uint8))
-
-    def run(batches):
-        for b in map(_once, batches):
-            h = b.column("h").to_numpy(zero_copy_only=False)
-            yield b.filter(pa.array((marks.value[(h >> 3) & (MARKS // 8 - 1)] >> (h & 7).astype(np.uint8)) & 1 == 1))
-
-    return lines.mapInArrow(run, "h long, g long, line string")
+    bit = lambda c: F.pmod(c, F.lit(MARKS)) + 1
+    at = bit(F.col("id"))
+    # Written, so that its size is known and below the session's threshold for a broadcast.
+    marks = scratch.save(spark, met.groupBy(F.bitmap_bucket_number(at).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("cells")), "line-marks")
+    at = bit(F.col("h"))
+    rows = lines.select("h", "g", "line", F.bitmap_bucket_number(at).alias("bucket"), F.bitmap_bit_position(at).alias("at")).join(marks, "bucket")
+    return rows.where(F.expr("(shiftright(ascii(decode(substr(cells, cast(at div 8 as int) + 1, 1), 'ISO-8859-1')), cast(at % 8 as int)) & 1) = 1")).select("h", "g", "line")
 
 
 class Lines:
-    """The lines that meet others: their texts, and the sizes and parities of their sets."""
+    """The texts of the lines that meet others."""
 
     def __init__(self, spark: SparkSession, lines: DataFrame, met: DataFrame):
         texts = _marked(spark, lines, met).join(met.select(F.col("id").alias("h")), "h", "left_semi")
         texts = texts.groupBy("h").agg(F.min(F.struct("g", "line")).alias("t")).select(F.col("h").alias("id"), "t.g", "t.line")
         self.texts = scratch.save(spark, texts, "line-texts")
-        self.described = scratch.save(spark, self.texts.select("id", "line").mapInArrow(_describe, "id long, " + ", ".join(f"{c} long" for c in _DESCRIBED)), "line-described")
-
-    def likely(self, pairs: DataFrame, similarity: float) -> DataFrame:
-        """The pairs that may be similar."""
-        x, y = (self.described.select(F.col("id").alias(end), *(F.col(c).alias(f"{c}{s}") for c in _DESCRIBED)) for end, s in (("a", "x"), ("b", "y")))
-        return pairs.join(x, "a").join(y, "b").where(_may_be_similar(similarity)).select("a", "b")
 
 
 def _verified(spark: SparkSession, lines: Lines, pairs: DataFrame, similarity: float) -> DataFrame:
@@ -366,7 +375,7 @@ def _verified(spark: SparkSession, lines: Lines, pairs: DataFrame, similarity: f
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
     texts = scratch.save(spark, lines.texts.join(ids, "id", "left_semi"), "line-pair-texts")
     x, y = texts.select(F.col("id").alias("a"), F.col("line").alias("x")), texts.select(F.col("id").alias("b"), F.col("line").alias("y"))
-    return scratch.save(spark, pairs.join(x, "a").join(y, "b").mapInArrow(_compare(similarity), "a long, b long"), "line-links")
+    return scratch.save(spark, pairs.join(x, "a").join(y, "b").where(similar(F.col("x"), F.col("y"), similarity)).select("a", "b"), "line-links")
 
 
 def _uniting(spark: SparkSession, lines: Lines, rest: DataFrame, similarity: float) -> list[DataFrame]:
@@ -399,7 +408,6 @@ def _uniting(spark: SparkSession, lines: Lines, rest: DataFrame, similarity: flo
 
 def _found(spark: SparkSession, documents: DataFrame, similarity: float) -> DataFrame:
     """doc_id (not null), text_hash, line_no and h of each line that goes, with the place of the one that stays."""
-    scratch.bound_batches(spark)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     with scratch.scope(spark) as kept:
         to = kept(_keepers(spark, docs, similarity))
@@ -419,15 +427,19 @@ def find(spark: SparkSession, documents: DataFrame, similarity: float = 0.8) ->
 
 def _keepers(spark: SparkSession, docs: DataFrame, similarity: float) -> DataFrame:
     """(h, g, keep) of the lines that occur more than once or are linked; keep: the place of the one that stays."""
-    all_lines = _lines(docs).select(*_hashes(), "line")
-    met = scratch.save(spark, _meetings(all_lines), "line-meetings")
+    places = _lines(docs).select("*", *_hashes())
+    firsts = scratch.save(spark, places.withColumn("place", _place()).groupBy("h", "g").agg(F.min("place").alias("place"), F.count("*").alias("n")), "line-firsts")
+    scratch.release(spark)
+    often = scratch.save(spark, firsts.where(f"n > {SALTED}").select("h", "g", F.col("place").alias("first")), "line-often")
+    once = places.join(often, ["h", "g"], "left").where(F.col("first").isNull() | (F.col("first") == _place())).select("h", "g", "line")
+    met = scratch.save(spark, _meetings(once), "line-meetings")
     scratch.release(spark)
-    lines = Lines(spark, all_lines, met)
+    lines = Lines(spark, once, met)
     scratch.release(spark)
-    checked = lambda some: _verified(spark, lines, scratch.save(spark, lines.likely(some, similarity), "line-likely"), similarity)
+    checked = lambda some: _verified(spark, lines, some, similarity)
     pairs = scratch.save(spark, _candidates(met), "line-pairs")
     links = checked(pairs)
-    groups = connected_components(spark, links, "lines")
+    groups, late = connected_components(spark, links, "lines"), []
     for _ in range(HUB_ROUNDS - 1):
         more = scratch.save(spark, _more_candidates(met, groups, pairs), "line-more-pairs")
         if more.isEmpty():
@@ -437,17 +449,20 @@ def _keepers(spark: SparkSession, docs: DataFrame, similarity: float) -> DataFra
         pairs = pairs.union(more)
         if found.isEmpty():
             break
+        if 100 * found.count() < links.count():  # the rest finds what further rounds would
+            late.append(found)
+            break
         links = links.union(found)
         groups = connected_components(spark, links, "lines")
-    rest = scratch.save(spark, _rest(spark, lines, met, groups, similarity).join(pairs, ["a", "b"], "left_anti"), "line-rest-pairs")
+    rest, near = _rest(spark, lines, met, groups, similarity)
+    rest = scratch.save(spark, rest.join(pairs, ["a", "b"], "left_anti"), "line-rest-pairs")
     scratch.release(spark)
-    if not rest.isEmpty():
-        for found in _uniting(spark, lines, rest, similarity):
+    late += near if rest.isEmpty() else near + _uniting(spark, lines, rest, similarity)
+    if late:
+        for found in late:
             links = links.union(found)
         groups = connected_components(spark, links, "lines-all")
     scratch.release(spark)
-    # Not before, so that places of all lines don't lie beside the bands.
-    firsts = _lines(docs).select(*_hashes(), _place().alias("place")).groupBy("h", "g").agg(F.min("place").alias("place"), F.count("*").alias("n"))
     named = lines.texts.select(F.col("id").alias("h"), "g").join(groups.withColumnRenamed("id", "h"), "h")
     blank = (F.col("h") == F.xxhash64(F.lit(""))) & (F.col("g") == F.xxhash64(F.lit(7), F.lit("")))
     several = scratch.save(spark, firsts.join(named, ["h", "g"], "left").where("n > 1 or root is not null").where(~blank), "line-several")

@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from storyloom.llm import (
     chat_format, components, decontaminate, line_dedup, ngram_join, packing, pii, quality_classifier, quality_rules, queries, scratch, secret_scan, textkernel, token_records,
@@ -185,6 +186,65 @@ def test_line_dedup_verifies_no_pairs_within_a_group(spark, monkeypatch):
     assert sum(seen) < 1000  # of 4950
 
 
+def test_line_dedup_joins_few_pairs_of_a_crowded_band(spark, monkeypatch):
+    """Neighbours unite most of a group before all that is still apart in its bands is joined with all (4,554 pairs without that)."""
+    rng = random.Random(12)
+    passage = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=300))
+    rows = [(k, passage[:c] + "".join(rng.choices("QXZ", k=2)) + passage[c + 2 :]) for k in range(100) for c in [rng.randrange(290)]]
+    save, seen = scratch.save, []
+
+    def counted(spark, df, name):
+        out = save(spark, df, name)
+        if name == "line-rest-pairs":
+            seen.append(out.count())
+        return out
+
+    monkeypatch.setattr(scratch, "save", counted)
+    monkeypatch.setattr(line_dedup, "_candidates", lambda met: met.selectExpr("hub AS a", "id AS b").limit(0))
+    monkeypatch.setattr(line_dedup, "HUB_ROUNDS", 1)
+    got = {(r["doc_id"], r["keep_doc_id"]) for r in line_dedup.find(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(k, 0) for k in range(1, 100)} and len(seen) == 1 and seen[0] < 1000
+
+
+def test_line_dedup_runs_no_python_on_the_executors(spark, monkeypatch):
+    def refuse(*_, **__):
+        raise AssertionError("Python on the executors")
+
+    docs = spark.createDataFrame([(k, f"the first line of {k // 2} all the documents that are here\nand {k} more") for k in range(40)], "doc_id long, text string")
+    for name in ("mapInArrow", "mapInPandas"):
+        monkeypatch.setattr(type(docs), name, refuse)
+    monkeypatch.setattr(type(docs), "rdd", property(refuse))
+    assert line_dedup.find(spark, docs).count() >= 20
+    assert line_dedup.drop_lines(spark, docs).count() == 40
+
+
+def test_line_columns_agree_with_kernels_and_plain_sets(spark):
+    rng, size = random.Random(33), line_dedup.VERIFY
+    texts = ["".join(rng.choices(kind, k=rng.choice([1, 4, 5, 6, 40, 90]))) for kind in ("ab", "abé漢 𝒳", "ab\n ") for _ in range(30)]
+    texts += [t[:-2] + "é" + t[-1:] for t in texts] + ["a" * 500]
+    sets = [{t[i : i + size] for i in range(max(1, len(t) - size + 1))} for t in texts]
+    lines = spark.createDataFrame(list(enumerate(texts)), "id long, line string")
+    rows = {r["id"]: r for r in line_dedup.described(lines).collect()}
+    assert [rows[i]["n"] for i in range(len(texts))] == [len(x) for x in sets]
+    pairs = [(i, j) for i in range(len(texts)) for j in rng.sample(range(len(texts)), 20)] + [(i, i + 90) for i in range(90)]
+    for i, j in pairs:
+        assert sum(((rows[i][f"b{k}"] ^ rows[j][f"b{k}"]) & (2**64 - 1)).bit_count() for k in range(8)) <= len(sets[i] ^ sets[j])
+    x, y = ([texts[p[k]] for p in pairs] for k in (0, 1))
+    batch = pa.record_batch({"a": pa.array([i for i, _ in pairs]), "b": pa.array([j for _, j in pairs]), "x": pa.array(x), "y": pa.array(y)})
+    kernel = {(r["a"], r["b"]) for out in line_dedup._compare(0.8)([batch]) for r in out.to_pylist()}
+    both = spark.createDataFrame([(*p, *t) for p, t in zip(pairs, zip(x, y))], "a long, b long, x string, y string")
+    got = {(r["a"], r["b"]) for r in both.where(line_dedup.similar(F.col("x"), F.col("y"), 0.8)).collect()}
+    assert got == kernel == {(i, j) for i, j in pairs if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])} and len(got) > 50
+
+
+def test_line_dedup_of_a_line_in_many_places(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "SALTED", 3)
+    line = "a line that stands in more places than are hashed one by one"
+    rows = [(k, f"{line}\nown {k * 7919}" if k else line.replace("stands", "stood")) for k in range(12)] + [(5, f"{line}\nown {5 * 7919}")]
+    got = {(r["doc_id"], r["line_no"], r["keep_doc_id"]) for r in line_dedup.find(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {(k, 0, 0) for k in range(1, 12)} <= got
+
+
 def test_line_dedup_tells_lines_of_one_hash_apart(spark):
     one, two = (
         "w=(bmf})the first of two lines, 5=,c}^'~which one hash can't tel",
