@@ -187,7 +187,7 @@ def test_line_dedup_verifies_no_pairs_within_a_group(spark, monkeypatch):
 
 
 def test_line_dedup_joins_few_pairs_of_a_crowded_band(spark, monkeypatch):
-    """Neighbours unite most of a group before all that is still apart in its bands is joined with all (4,554 pairs without that)."""
+    """Neighbours unite most of a group before all that is still apart in its bands is joined with all."""
     rng = random.Random(12)
     passage = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=300))
     rows = [(k, passage[:c] + "".join(rng.choices("QXZ", k=2)) + passage[c + 2 :]) for k in range(100) for c in [rng.randrange(290)]]
