@@ -12,18 +12,18 @@ sizes and comparisons in another form, which the tests hold against the column f
 3. Each line is first paired with one other: the first of a band, the one that it meets in most of its bands. As long as this
    unites lines, and HUB_ROUNDS times at most, each group is then paired in the same way with each other group of which it
    meets a first line; only lines in different groups are paired, once.
-4. Each pair is verified once: Jaccard of the sets of all shingles of VERIFY characters at least `similarity`.
+4. Pairs that can't be similar go (see 5.). Each other is verified once: Jaccard of the sets of all shingles of VERIFY characters at least `similarity`.
 5. Contraction unites linked lines. Lines of one band that are still in different groups are then paired as well. In bands of more
    than CROWD lines first with their next neighbour in a shuffled order, of which the likeliest of each group is verified; as long
    as this unites groups, and NEAR_ROUNDS times at most. Then what is still in different groups, exhaustively: all
    with all in bands of at most MIDDLE lines, once for each pair; lines of larger bands where they share one of the rare shingles
-   that any similar pair must share (prefix, length and positional filters). Only pairs go on whose sets' parities, in BITS classes of
+   that any similar pair must share (prefix, length and positional filters). Only pairs go on whose sets' parities, in 64 * CELLS classes of
    shingles, differ in no more classes than the sets of a similar pair can differ in shingles, which loses none. Of these pairs the likeliest of each group is verified
    first, then the likeliest of each two groups, then all that are still between two groups. No link within a band
    that would unite groups is lost.
 6. Of each group the first line by (doc_id, hash of the text, line number) stays.
 
-No join has a hint: what is broadcast is for the session's threshold in bytes to say.
+No join but one has a hint: what is broadcast is for the session's threshold in bytes to say. The exception is a table of 8 MB at most, whatever the input.
 
 Defined results: null and empty texts have no lines to drop. A null doc_id comes before all others. Rows that share a doc_id, or
 have none, are told apart by their texts; rows that repeat a doc_id and text keep and lose the same lines. Lines of one
@@ -55,10 +55,14 @@ MARKS = 1 << 26
 HUB_ROUNDS = 4
 #: Lines of a band up to which all are paired with all at once, and rounds of pairs with neighbours in larger ones before that.
 CROWD, NEAR_ROUNDS = 8, 3
+#: Neighbours of a line in one round, in bands of more than SMALL lines.
+NEXT = 4
 #: Lines with one shingle that meet in one task, and places of a line that are hashed and sent one by one.
 SALTED = 1000
 BITS = 512
 _WORDS = BITS // 64
+#: Words of parities in the columns' description of a line, with a class of shingles for each bit.
+CELLS = 16
 #: Bits of a hash beside the number of its line or pair in one sortable number.
 _LOW = 40
 _SET_LOW, _SET_PAIRS = 52, 4096
@@ -176,32 +180,34 @@ def _describe(batches):
             yield pa.record_batch({"id": b.column("id").slice(i, j - i), "n": pa.array(n), **{f"b{k}": pa.array(np.ascontiguousarray(words[:, k])) for k in range(_WORDS)}})
 
 
-def runs(line: Column, size: int) -> Column:
-    """Hashes of all runs of so many bytes; a shorter line is one."""
+def runs(line: Column, size: int, encoded: bool = False) -> Column:
+    """Hashes of all runs of so many bytes, or characters if the line is to be encoded; a shorter line is one."""
     # The bytes are bound as an array's only element, so that they are made once and not for each run.
-    each = lambda b: F.transform(F.sequence(F.lit(1), F.greatest(F.octet_length(b) - (size - 1), F.lit(1))), lambda i: F.xxhash64(F.substr(b, i, F.lit(size))))
-    return F.get(F.transform(F.array(line.cast("binary")), each), F.lit(0))
+    data, wide = (F.encode(line, "UTF-32"), 4) if encoded else (line.cast("binary"), 1)
+    last = lambda b: F.greatest(F.octet_length(b) - (size * wide - 1), F.lit(1))
+    each = lambda b: F.transform(F.sequence(F.lit(1), last(b), F.lit(wide)), lambda i: F.xxhash64(F.substr(b, i, F.lit(size * wide))))
+    return F.get(F.transform(F.array(data), each), F.lit(0))
 
 
 def tokens(line: Column) -> Column:
     """Hashes of all shingles of VERIFY characters, with repetitions; a shorter line is one."""
-    some = F.when(F.length(line) <= VERIFY, F.array(line)).otherwise(F.regexp_extract_all(line, F.lit(f"(?s)(?=(.{{{VERIFY}}}))."), 1))
-    return F.when(F.octet_length(line) == F.length(line), runs(line, VERIFY)).otherwise(F.transform(some, lambda t: F.xxhash64(t)))
+    return runs(line, VERIFY, encoded=True)
 
 
-def similar(x: Column, y: Column, similarity: float) -> Column:
-    """Whether two lines are: one expression, so that Catalyst makes their sets once."""
-    both = F.array(F.struct(tokens(x).alias("x"), tokens(y).alias("y")))
-    return F.get(F.transform(both, lambda p: F.size(F.array_intersect(p["x"], p["y"])) >= similarity * F.size(F.array_union(p["x"], p["y"]))), F.lit(0))
+def similar(x: Column, y: Column, similarity: float, nx: Column | None = None, ny: Column | None = None) -> Column:
+    """Whether two lines are, by their sets and the sizes of these, if known."""
+    nx, ny = (F.size(F.array_distinct(tokens(c))) if n is None else n for c, n in ((x, nx), (y, ny)))
+    both = F.size(F.array_intersect(tokens(x), tokens(y)))
+    return (1 + similarity) * both >= similarity * (nx + ny) - 1e-9
 
 
 def described(lines: DataFrame) -> DataFrame:
     """Of id and line: id, n (distinct shingles) and the parities of their classes."""
     rows = lines.select("id", F.explode(F.array_distinct(tokens(F.col("line")))).alias("t"))
     bit = F.expr("shiftleft(1L, cast(t & 63 as int))")
-    word = F.expr(f"shiftrightunsigned(t, 6) & {_WORDS - 1}")
-    return rows.select("id", bit.alias("bit"), word.alias("word")).groupBy("id").agg(
-        F.count("*").alias("n"), *(F.expr(f"bit_xor(if(word = {k}, bit, 0L))").alias(f"b{k}") for k in range(_WORDS))
+    word = F.expr(f"shiftrightunsigned(t, 6) & {CELLS - 1}")
+    return rows.select("id", word.alias("word"), bit.alias("bit")).groupBy("id").agg(
+        F.count("*").alias("n"), *(F.expr(f"bit_xor(if(word = {k}, bit, 0L))").alias(f"b{k}") for k in range(CELLS))
     )
 
 
@@ -235,7 +241,9 @@ def _bands(lines: DataFrame) -> DataFrame:
     d = d.withColumn("_m", F.slice(F.when(whole, F.col("_m")).otherwise(F.array_distinct("_all")), 1, BANDS + 2))
     m, size = F.col("_m"), F.size("_m")
     # What meets by chance of 40 bits is verified away; zeros shrink in the shuffle.
-    bands = F.transform(F.slice(m, 1, BANDS), lambda x, i: F.shiftrightunsigned(F.xxhash64(x, F.get(m, (i + 1) % size), F.get(m, (i + 2) % size)), 64 - _LOW))
+    # One by one, since Catalyst compiles this and not a function of an array's elements.
+    band = lambda i: F.shiftrightunsigned(F.xxhash64(*(F.get(m, F.lit(i + j) % size) for j in range(3))), 64 - _LOW)
+    bands = F.slice(F.array(*(band(i) for i in range(BANDS))), 1, F.least(size, F.lit(BANDS)))
     return d.select(F.col("h").alias("id"), F.explode(F.when(F.col("line") != "", bands)).alias("band"))
 
 
@@ -269,7 +277,7 @@ def _more_candidates(met: DataFrame, groups: DataFrame, tried: DataFrame) -> Dat
 
 def _apart() -> Column:
     """In how many classes the parities of two described lines (columns with x and y at their ends) are different."""
-    return sum((F.bit_count(F.col(f"b{k}x").bitwiseXOR(F.col(f"b{k}y"))) for k in range(1, _WORDS)), F.bit_count(F.col("b0x").bitwiseXOR(F.col("b0y"))))
+    return sum((F.bit_count(F.col(f"b{k}x").bitwiseXOR(F.col(f"b{k}y"))) for k in range(1, CELLS)), F.bit_count(F.col("b0x").bitwiseXOR(F.col("b0y"))))
 
 
 def _may_be_similar(similarity: float) -> Column:
@@ -279,7 +287,7 @@ def _may_be_similar(similarity: float) -> Column:
     return sizes & (_apart() <= (1 - similarity) / (1 + similarity) * (F.col("nx") + F.col("ny")) + 1e-9)
 
 
-_DESCRIBED = ("n", *(f"b{k}" for k in range(_WORDS)))
+_DESCRIBED = ("n", *(f"b{k}" for k in range(CELLS)))
 
 
 def _rooted(rows: DataFrame, groups: DataFrame, by: str) -> DataFrame:
@@ -293,8 +301,10 @@ def _neighbours(spark: SparkSession, lines: Lines, rows: DataFrame, features: Da
     links = []
     for k in range(NEAR_ROUNDS):
         w = Window.partitionBy("band").orderBy(F.xxhash64(F.lit(k), "id"))
-        near = rows.where(f"members > {CROWD}").select("id", "root", F.lead("id").over(w).alias("other"), F.lead("root").over(w).alias("other_root"))
-        near = near.where("root <> other_root").select(F.col("id").alias("idx"), F.col("root").alias("rootx"), F.col("other").alias("idy"), F.col("other_root").alias("rooty")).distinct()
+        others = F.array(*(F.lead(F.struct("id", "root"), d).over(w) for d in range(1, NEXT + 1)))
+        near = rows.where(f"members > {CROWD}").select("id", "root", F.when(F.col("members") > SMALL, NEXT).otherwise(1).alias("next"), others.alias("others"))
+        near = near.select("id", "root", F.explode(F.expr("filter(slice(others, 1, next), o -> o.root <> root)")).alias("other"))
+        near = near.select(F.col("id").alias("idx"), F.col("root").alias("rootx"), F.col("other.id").alias("idy"), F.col("other.root").alias("rooty")).distinct()
         for end in "xy":
             near = near.join(features.select(*(F.col(c).alias(f"{c}{end}") for c in ("id", *_DESCRIBED))), f"id{end}")
         near = near.where(_may_be_similar(similarity)).select(*_pair("idx", "idy"), "rootx", "rooty", (_apart() / (F.col("nx") + F.col("ny"))).alias("apart"))
@@ -304,6 +314,7 @@ def _neighbours(spark: SparkSession, lines: Lines, rows: DataFrame, features: Da
         found = _verified(spark, lines, scratch.save(spark, best.select("p.a", "p.b").distinct(), "line-near-some"), similarity)
         if found.isEmpty():
             break
+        scratch.release(spark)
         links.append(found)
         united = near.join(found, ["a", "b"], "left_semi").select(F.col("rootx").alias("a"), F.col("rooty").alias("b"))
         to = connected_components(spark, united, "lines-near")
@@ -318,9 +329,7 @@ def _rest(spark: SparkSession, lines: Lines, met: DataFrame, groups: DataFrame,
     rows = _rooted(met.select("id", "band", F.col("id").alias("root")), groups, "id")
     open_ = rows.groupBy("band").agg(F.count("*").alias("c"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("band", F.col("c").alias("members"))
     rows = scratch.save(spark, rows.join(open_, "band"), "line-rest")
-    # Written first, so that Catalyst doesn't make the sets of all lines below the join.
-    some = scratch.save(spark, lines.texts.join(rows.select("id").distinct(), "id", "left_semi").select("id", "line"), "line-rest-texts")
-    features = scratch.save(spark, described(some), "line-described")
+    features = lines.features
     rows, links = _neighbours(spark, lines, rows, features, similarity)
     few = scratch.save(spark, rows.where(f"members <= {SMALL}").join(features, "id"), "line-few")
     x, y = (few.select("band", *(F.col(c).alias(f"{c}{s}") for c in ("id", "root", *_DESCRIBED))) for s in "xy")
@@ -354,10 +363,10 @@ def _marked(spark: SparkSession, lines: DataFrame, met: DataFrame) -> DataFrame:
     texts aren't shuffled."""
     bit = lambda c: F.pmod(c, F.lit(MARKS)) + 1
     at = bit(F.col("id"))
-    # Written, so that its size is known and below the session's threshold for a broadcast.
+    # Of 8 MB at most, whatever the input; without the hint a session with a lower threshold shuffles the texts of all lines.
     marks = scratch.save(spark, met.groupBy(F.bitmap_bucket_number(at).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("cells")), "line-marks")
     at = bit(F.col("h"))
-    rows = lines.select("h", "g", "line", F.bitmap_bucket_number(at).alias("bucket"), F.bitmap_bit_position(at).alias("at")).join(marks, "bucket")
+    rows = lines.select("h", "g", "line", F.bitmap_bucket_number(at).alias("bucket"), F.bitmap_bit_position(at).alias("at")).join(F.broadcast(marks), "bucket")
     return rows.where(F.expr("(shiftright(ascii(decode(substr(cells, cast(at div 8 as int) + 1, 1), 'ISO-8859-1')), cast(at % 8 as int)) & 1) = 1")).select("h", "g", "line")
 
 
@@ -368,14 +377,25 @@ class Lines:
         texts = _marked(spark, lines, met).join(met.select(F.col("id").alias("h")), "h", "left_semi")
         texts = texts.groupBy("h").agg(F.min(F.struct("g", "line")).alias("t")).select(F.col("h").alias("id"), "t.g", "t.line")
         self.texts = scratch.save(spark, texts, "line-texts")
+        scratch.release(spark)
+        self.features = scratch.save(spark, described(self.texts).select("id", *_DESCRIBED), "line-described")
+
+
+def _possible(spark: SparkSession, lines: Lines, pairs: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) but for those whose lines can't be similar."""
+    for end, c in (("x", "a"), ("y", "b")):
+        pairs = pairs.join(lines.features.select(F.col("id").alias(c), *(F.col(k).alias(f"{k}{end}") for k in _DESCRIBED)), c)
+    return scratch.save(spark, pairs.where(_may_be_similar(similarity)).select("a", "b"), "line-possible")
 
 
 def _verified(spark: SparkSession, lines: Lines, pairs: DataFrame, similarity: float) -> DataFrame:
     """The pairs whose lines are similar. pairs: a written table."""
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    texts = scratch.save(spark, lines.texts.join(ids, "id", "left_semi"), "line-pair-texts")
-    x, y = texts.select(F.col("id").alias("a"), F.col("line").alias("x")), texts.select(F.col("id").alias("b"), F.col("line").alias("y"))
-    return scratch.save(spark, pairs.join(x, "a").join(y, "b").where(similar(F.col("x"), F.col("y"), similarity)).select("a", "b"), "line-links")
+    texts = lines.texts.join(ids, "id", "left_semi").join(lines.features.select("id", "n"), "id")
+    texts = scratch.save(spark, texts.select("id", "line", "n"), "line-pair-texts")
+    x, y = (texts.select(F.col("id").alias(c), F.col("line").alias(t), F.col("n").alias(f"n{t}")) for c, t in (("a", "x"), ("b", "y")))
+    good = similar(F.col("x"), F.col("y"), similarity, F.col("nx"), F.col("ny"))
+    return scratch.save(spark, pairs.join(x, "a").join(y, "b").where(good).select("a", "b"), "line-links")
 
 
 def _uniting(spark: SparkSession, lines: Lines, rest: DataFrame, similarity: float) -> list[DataFrame]:
@@ -438,13 +458,13 @@ def _keepers(spark: SparkSession, docs: DataFrame, similarity: float) -> DataFra
     scratch.release(spark)
     checked = lambda some: _verified(spark, lines, some, similarity)
     pairs = scratch.save(spark, _candidates(met), "line-pairs")
-    links = checked(pairs)
+    links = checked(_possible(spark, lines, pairs, similarity))
     groups, late = connected_components(spark, links, "lines"), []
     for _ in range(HUB_ROUNDS - 1):
         more = scratch.save(spark, _more_candidates(met, groups, pairs), "line-more-pairs")
         if more.isEmpty():
             break
-        found = checked(more)
+        found = checked(_possible(spark, lines, more, similarity))
         scratch.release(spark)
         pairs = pairs.union(more)
         if found.isEmpty():

@@ -272,6 +272,32 @@ def test_line_dedup_shuffles_no_texts(spark):
     assert sum(n for k, n in shuffled().items() if k not in before) < 0.5 * 2_000_000
 
 
+def test_line_dedup_shuffles_no_texts_to_mark_lines_whatever_the_threshold(spark):
+    lines = spark.createDataFrame([(k * 10**12, k, f"line {k}") for k in range(20)], "h long, g long, line string")
+    met, key = lines.where("g < 5").select(F.col("h").alias("id")), "spark.sql.autoBroadcastJoinThreshold"
+    was = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        marked = line_dedup._marked(spark, lines, met)
+        assert {r["g"] for r in marked.collect()} == set(range(5))
+        plan = marked._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(key, was)
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_line_dedup_verifies_no_hub_pairs_that_cannot_be_similar(spark, monkeypatch):
+    rng = random.Random(15)
+    text = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=n))
+    passage = text(150)
+    rows = [(k, passage + text(150)) for k in range(60)] + [(60, passage + text(150))]
+    rows += [(61, rows[60][1][:-3] + "QXZ")]
+    verify, seen = line_dedup._verified, []
+    monkeypatch.setattr(line_dedup, "_verified", lambda spark, lines, pairs, similarity: seen.append(pairs.count()) or verify(spark, lines, pairs, similarity))
+    got = {(r["doc_id"], r["keep_doc_id"]) for r in line_dedup.find(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(61, 60)} and 1 <= sum(seen) < 10  # of 61 with hubs alone
+
+
 def test_line_kernels_agree_with_plain_sets():
     rng, size = random.Random(31), line_dedup.VERIFY
     texts = ["".join(rng.choices("abé漢 𝒳", k=rng.choice([1, 3, 4, 5, 6, 40, 300]))) for _ in range(300)] + ["a" * 500, "ab" * 400]
